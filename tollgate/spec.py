@@ -9,6 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql.types import StructType
 
 
+def schema_of(**types: str) -> StructType:
+    """A schema from names and type names; needs no session, unlike a DDL string."""
+    schema = StructType()
+    for name, kind in types.items():
+        schema.add(name, kind)
+    return schema
+
+
 @dataclass(frozen=True)
 class Rule:
     """A named check; ``test`` builds a column that is true for a good row.
