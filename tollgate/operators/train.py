@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -60,8 +60,12 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     Takes batch and streaming frames alike; no Python runs per row.
     """
     scored = model.transform(df)
-    p = vector_to_array("probability")[1]
-    return scored.select(*df.columns, F.col("prediction"), p.alias("p"))
+    return scored.select(*df.columns, F.col("prediction"), positive_probability().alias("p"))
+
+
+def positive_probability() -> Column:
+    """A model that saw negatives only gives one probability, that of a negative."""
+    return F.coalesce(F.get(vector_to_array("probability"), 1), F.lit(0.0))
 
 
 def search(
@@ -77,7 +81,8 @@ def search(
     ``grid`` holds ``family`` and lists of values. Returns the model refitted on
     all rows with the best parameters, these parameters, and one row per setting.
     Folds come from the key, so copies of a row never face each other. Features
-    are assembled once and kept. The settings run in driver threads that only
+    are assembled once and kept. A fold whose training rows are of one class is
+    left out. The settings run in driver threads that only
     submit jobs. (Spark's CrossValidator is not used: with a fold column it calls
     a Python function on every row, and its evaluator is binned by default.)
     """
@@ -97,10 +102,10 @@ def search(
 
     def evaluate(i: int) -> tuple[float | None, int]:
         scored = None
-        for fold in range(n_folds):
+        for fold in usable:
             model = learner.fit(ready.filter(F.col("fold") != fold), settings[i])
             held_out = model.transform(ready.filter(F.col("fold") == fold)).select(
-                "fold", spec.label, vector_to_array("probability")[1].alias("p")
+                "fold", spec.label, positive_probability().alias("p")
             )
             scored = held_out if scored is None else scored.unionByName(held_out)
         by_fold = auc(scored, ["fold"], "p", spec.label)
@@ -108,7 +113,9 @@ def search(
         return row.metric, row.folds
 
     try:
-        ready.count()
+        usable = _two_class_folds(ready, spec.label, n_folds)
+        if not usable:
+            raise ValueError("in every fold the training rows are of one class")
         task = inheritable_thread_target(df.sparkSession)(evaluate)
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             results = list(pool.map(task, range(len(settings))))
@@ -118,6 +125,8 @@ def search(
             for i, (m, n) in enumerate(results)
         ]
         table = df.sparkSession.createDataFrame(rows, SEARCH_TABLE)
+        if all(metric is None for metric, _ in results):
+            raise ValueError("no fold holds out both classes")
         best = best_run(table).first().setting
         final = learner.fit(ready, settings[best])
     finally:
@@ -126,6 +135,15 @@ def search(
     return model, {"family": family, **named[best]}, table
 
 
+def _two_class_folds(ready: DataFrame, label: str, n_folds: int) -> list[int]:
+    """Folds whose training rows hold both classes."""
+    counts = ready.groupBy("fold").agg(F.count("*").alias("n"), F.sum(label).alias("pos"))
+    found = {r.fold: (r.n, r.pos) for r in counts.collect()}
+    n, pos = (sum(v[i] for v in found.values()) for i in (0, 1))
+    rest = {f: (n - found.get(f, (0, 0))[0], pos - found.get(f, (0, 0))[1]) for f in range(n_folds)}
+    return [f for f, (n_rest, pos_rest) in rest.items() if 0 < pos_rest < n_rest and f in found]
+
+
 def best_run(table: DataFrame) -> DataFrame:
     """The setting with the highest metric; of equals, the first."""
     rank = F.struct(F.col("metric"), -F.col("setting"))

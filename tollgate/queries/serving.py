@@ -190,21 +190,21 @@ QUERIES["stream_performance"] = stream_performance
 
 def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load log made from the events: one query per event type, one batch per
-    six hours. An event's value stands for the time it took, and the first batch
-    has no rates."""
+    six hours. The mean value, of 89, stands for the share of the time in which the
+    cluster was busy, and the first batch has no rates."""
     events = table(spark, sf_dir, "events").select("event_type", "ts", "value")
     hour = F.timestamp_diff("HOUR", F.lit("2024-01-01").cast("timestamp_ntz"), F.col("ts"))
     batch = F.floor(hour / 6)
     counted = events.groupBy(F.col("event_type").alias("query_id"), batch.alias("batch_id")).agg(
-        F.count("*").alias("n_in"), F.sum("value").alias("spent")
+        F.count("*").alias("n_in"), F.avg("value").alias("busy")
     )
-    rated = F.col("batch_id") > 0
+    in_rate = F.when(F.col("batch_id") > 0, F.col("n_in") / 21_600.0)
     return counted.select(
         "query_id",
         "batch_id",
         "n_in",
-        F.when(rated, F.col("n_in") / 6.0).alias("in_rate"),
-        F.when(rated, 100.0 * F.col("n_in") / F.col("spent")).alias("out_rate"),
+        in_rate.alias("in_rate"),
+        (in_rate * 89.0 / F.col("busy")).alias("out_rate"),
     )
 
 
@@ -212,11 +212,11 @@ _LOAD_LOG_SQL = """
     log AS (
         SELECT event_type AS query_id,
                CAST(epoch(ts) - epoch(TIMESTAMP '2024-01-01') AS BIGINT) // 21600 AS batch_id,
-               count(*) AS n_in, sum(value) AS spent
+               count(*) AS n_in, avg(value) AS busy
         FROM events GROUP BY ALL),
     ratios AS (
         SELECT query_id, batch_id,
-               CASE WHEN batch_id > 0 THEN (n_in / 6e0) / (100e0 * n_in / spent) END AS ratio
+               CASE WHEN batch_id > 0 THEN busy / 89e0 END AS ratio
         FROM log),
     loads AS (
         SELECT *, avg(ratio) OVER w AS ratio_mean, count(ratio) OVER w AS ratio_count
@@ -241,7 +241,7 @@ SELECT query_id, batch_id, round(ratio_mean, 6) AS ratio_mean, ratio_count FROM
 
 def scaling_signal_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: grow, shrink or hold after every batch."""
-    found = scaling_signal(load_log(spark, sf_dir), n=5, hi=1.1, lo=0.9)
+    found = scaling_signal(load_log(spark, sf_dir), n=5, hi=0.58, lo=0.52)
     return found.select("query_id", "batch_id", F.round("ratio", 6).alias("ratio"), "signal")
 
 
@@ -249,6 +249,6 @@ QUERIES["scaling_signal"] = scaling_signal_query
 ORACLES["scaling_signal"] = f"""
 WITH {_LOAD_LOG_SQL}
 SELECT query_id, batch_id, round(ratio, 6) AS ratio,
-       CASE WHEN ratio_count >= 5 AND ratio_mean > 1.1 THEN 'out'
-            WHEN ratio_count >= 5 AND ratio_mean < 0.9 THEN 'in' ELSE 'hold' END AS signal
+       CASE WHEN ratio_count >= 5 AND ratio_mean > 0.58 THEN 'out'
+            WHEN ratio_count >= 5 AND ratio_mean < 0.52 THEN 'in' ELSE 'hold' END AS signal
 FROM loads"""

@@ -156,7 +156,8 @@ def _grid_sql(features: str, d: int, smoothing: list[float], rows: str = "TRUE")
         for k in range(3)
     )
     union = " UNION ALL ".join(
-        f"SELECT {i} AS setting, {s!r}::DOUBLE AS smoothing, {k} AS fold, y, p FROM m{i}_{k}_scored"
+        f"SELECT {i} AS setting, {s!r}::DOUBLE AS smoothing, {k} AS fold, y, p "
+        f"FROM m{i}_{k}_scored, m{i}_{k}_sums WHERE n1 > 0 AND n0 > 0"
         for i, s in enumerate(smoothing)
         for k in range(3)
     )
@@ -297,10 +298,10 @@ _LOADED = date(2024, 1, 2)
 
 
 def retrain_since(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned documents in two loads, English ones in the first;
+    """The cleaned documents in two loads, English ones in the second;
     a model trained on the second, and the run as logged."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    day = F.when(F.col("lang") == "en", F.lit(date(2024, 1, 1))).otherwise(F.lit(_LOADED))
+    day = F.when(F.col("lang") == "en", F.lit(_LOADED)).otherwise(F.lit(date(2024, 1, 1)))
     clean_path, runs_path, models = (scratch(spark, n) for n in ("clean", "runs", "models"))
     loaded = documents.withColumns({"_status": F.lit("kept"), "load_date": day})
     write_clean(loaded, clean_path, ["_status", "load_date"])
@@ -325,7 +326,7 @@ def retrain_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _retrain_sql() -> str:
-    source = "(SELECT doc_id, text, quality FROM documents JOIN labels USING (doc_id) WHERE lang <> 'en')"
+    source = "(SELECT * FROM documents JOIN labels USING (doc_id) WHERE lang = 'en')"
     features = documents_sql(DOCUMENTS, source)
     grid = _grid_sql(features, 5, [1.0, 100.0], rows="percent < 80")
     final = ",".join(
