@@ -9,6 +9,7 @@ and the result does not depend on where the cuts are.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,10 +26,11 @@ MAX_RANGES = 8_192
 
 @dataclass(frozen=True)
 class ScoreCuts:
-    """Bounds of the score ranges, and the ranges that hold one frequent score only."""
+    """Bounds of the score ranges, and which ranges hold one frequent score only,
+    with the share of all rows that have it."""
 
     splits: tuple[float, ...]
-    tied: tuple[int, ...]
+    tied: dict[int, float]
 
 
 def score_cuts(df: DataFrame, score: str, ranges: int | None = None) -> ScoreCuts:
@@ -37,13 +39,25 @@ def score_cuts(df: DataFrame, score: str, ranges: int | None = None) -> ScoreCut
     A quantile that comes up twice is a score shared by many rows. It gets a range
     of its own, which needs no ranking inside.
     """
-    n = ranges or min(4 * shuffle_width(df.sparkSession), MAX_RANGES)
+    n = ranges or min(8 * shuffle_width(df.sparkSession), MAX_RANGES)
     probabilities = [i / n for i in range(n + 1)]
     found = df.stat.approxQuantile(score, probabilities, 1.0 / (4 * n))
-    frequent = {a for a, b in zip(found, found[1:]) if a == b}
-    bounds = set(found) | {math.nextafter(f, math.inf) for f in frequent}
+    shares = {score: times / n for score, times in Counter(found).items() if times > 1}
+    bounds = set(found) | {math.nextafter(f, math.inf) for f in shares}
     splits = (-math.inf, *sorted(b for b in bounds if math.isfinite(b)), math.inf)
-    return ScoreCuts(splits, tuple(splits.index(f) for f in sorted(frequent)))
+    at = {bound: i for i, bound in enumerate(splits)}
+    return ScoreCuts(splits, {at[f]: share for f, share in shares.items()})
+
+
+def with_salt(df: DataFrame, keys: Sequence[str], cuts: ScoreCuts, width: int) -> DataFrame:
+    """Spread a tied range over as many of ``width`` partitions as its share of rows asks for."""
+    salts = [
+        max(1, math.ceil(cuts.tied.get(i, 0.0) * width)) for i in range(len(cuts.splits) - 1)
+    ]
+    # One text literal, since every element of an array literal is a call to the JVM.
+    per_range = F.split(F.lit(",".join(map(str, salts))), ",").cast("array<int>")
+    salt = F.pmod(F.xxhash64(*keys), F.get(per_range, F.col(RANGE)))
+    return df.withColumn(SALT, salt.cast("int"))
 
 
 def with_range(df: DataFrame, score: str, cuts: ScoreCuts) -> DataFrame:
@@ -94,14 +108,16 @@ def rank_totals(
             _total("neg"),
         )
     )
-    ranges = parts.groupBy(*by, RANGE).agg(
-        _total("pos"),
-        _total("neg"),
-        _total("pairs"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        *[_total(name) for name in extra],
-    )
+    ranges = parts
+    if SALT in df.columns:
+        ranges = parts.groupBy(*by, RANGE).agg(
+            _total("pos"),
+            _total("neg"),
+            _total("pairs"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            *[_total(name) for name in extra],
+        )
     one_score = F.col("low") == F.col("high")
     pairs = F.when(one_score, 0.5 * F.col("pos") * F.col("neg")).otherwise(F.col("pairs"))
     lower = Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)

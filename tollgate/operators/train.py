@@ -33,6 +33,7 @@ FAMILIES = {
     "forest": RandomForestClassifier,
     "logistic": LogisticRegression,
 }
+ONE_PASS = {"bayes"}
 SEARCH_TABLE = "setting int, params map<string,string>, metric double, folds int"
 
 
@@ -41,17 +42,34 @@ def classifier(spec: DatasetSpec, family: str, weight: str | None = None, **para
     return made.setWeightCol(weight) if weight else made
 
 
+def _assemble(
+    df: DataFrame, spec: DatasetSpec, kept: Sequence[str]
+) -> tuple[PipelineModel, DataFrame]:
+    """Fitted feature stages, and the columns a learner reads."""
+    check_categories(df, spec)
+    features = Pipeline(stages=feature_stages(spec)).fit(df)
+    return features, features.transform(df).select("features", *kept)
+
+
 def fit(
     df: DataFrame, spec: DatasetSpec, params: Mapping, weight: str | None = None
 ) -> PipelineModel:
     """Fit features and classifier on labelled rows.
 
-    ``params`` holds ``family`` and that learner's parameters.
+    ``params`` holds ``family`` and that learner's parameters. Learners that pass
+    over the rows many times get the assembled features from storage.
     """
     params = dict(params)
-    learner = classifier(spec, params.pop("family"), weight, **params)
-    check_categories(df, spec)
-    return Pipeline(stages=[*feature_stages(spec), learner]).fit(df)
+    family = params.pop("family")
+    learner = classifier(spec, family, weight, **params)
+    features, ready = _assemble(df, spec, [spec.label, *([weight] if weight else [])])
+    if family in ONE_PASS:
+        return PipelineModel(stages=[*features.stages, learner.fit(ready)])
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages=[*features.stages, learner.fit(ready)])
+    finally:
+        ready.unpersist()
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -94,10 +112,8 @@ def search(
         builder.addGrid(getattr(learner, name), list(values))
     settings = builder.build()
 
-    check_categories(df, spec)
-    features = Pipeline(stages=feature_stages(spec)).fit(df)
-    kept = ["features", spec.label, "fold", *([weight] if weight else [])]
-    ready = features.transform(folds(df, spec.key, n_folds)).select(*kept)
+    kept = [spec.label, "fold", *([weight] if weight else [])]
+    features, ready = _assemble(folds(df, spec.key, n_folds), spec, kept)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
 
     def evaluate(i: int) -> tuple[float | None, int]:

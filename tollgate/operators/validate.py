@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 from ..functions import hash_word, poisson_one, two_sided_p
 from ..functions.hashing import WORDS_PER_HASH, joined_key
 from ..session import shuffle_width
-from .metrics import RANGE, SALT, ScoreCuts, auc, score_cuts, with_range
+from .metrics import RANGE, SALT, ScoreCuts, auc, score_cuts, with_range, with_salt
 
 REPLICATES = 100
 ALPHA = 0.05
-_SALTS = 64
 
 
 def bootstrap(
@@ -34,34 +33,36 @@ def bootstrap(
     not n * n_rep. Rows that share one frequent score are spread by a salt.
     """
     cuts = cuts or score_cuts(scored, "p")
-    ident = joined_key("model", *key)
-    digest_salt = F.pmod(F.xxhash64(ident), F.lit(_SALTS)).cast("int")
-    tied = F.col(RANGE).isin(*cuts.tied) if cuts.tied else F.lit(False)
-    blocks = -(-n_rep // WORDS_PER_HASH)
     narrow = with_range(scored.select("model", *key, "label", "p"), "p", cuts)
-    placed = narrow.select(
-        "model",
-        "label",
-        "p",
-        ident.alias("_ident"),
-        RANGE,
-        F.when(tied, digest_salt).otherwise(0).alias(SALT),
-    ).repartition(shuffle_width(scored.sparkSession), "model", RANGE, SALT)
-    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
+    carried = ["model", "label", "p", RANGE]
+    places = ["model", RANGE]
+    width = shuffle_width(scored.sparkSession)
+    if cuts.tied:
+        narrow = with_salt(narrow, key, cuts, width)
+        carried.append(SALT)
+        places.append(SALT)
+    ident = joined_key("model", *key).alias("_ident")
+    placed = narrow.select(*carried, ident).repartition(width, *places)
+    last_block = (n_rep - 1) // WORDS_PER_HASH
+    block = F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
     hashed = placed.select("*", block).withColumn(
         "_digest", F.md5(F.concat_ws("#", "_ident", F.col("_block").cast("string")))
     )
-    draws = F.array(
+    words = F.array(
         *[
             F.struct(
                 (F.col("_block") * WORDS_PER_HASH + i).alias("b"),
-                poisson_one(hash_word(F.col("_digest"), i)).alias("w"),
+                hash_word(F.col("_digest"), i).alias("_word"),
             )
             for i in range(WORDS_PER_HASH)
         ]
     )
-    drawn = hashed.select("model", "label", "p", RANGE, SALT, F.inline(draws))
-    return drawn.filter((F.col("w") > 0) & (F.col("b") < n_rep))
+    drawn = hashed.select(*carried, F.inline(words))
+    return (
+        drawn.withColumn("w", poisson_one(F.col("_word")))
+        .filter((F.col("w") > 0) & (F.col("b") < n_rep))
+        .drop("_word")
+    )
 
 
 def replicate_metric(boot: DataFrame) -> DataFrame:

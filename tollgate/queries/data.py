@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import in_domain, in_range
 from ..operators.features import attach_labels
-from ..session import tune
+from ..session import spread, tune
 from ..spec import DatasetSpec, Rule, schema_of
 
 
@@ -88,13 +88,14 @@ LINEITEM_FEATURES = """
     FROM lineitem"""
 
 # Texts marked as bad quality are the rare positive class: about one in seven.
-# Features are characters of a kind per hundred; the patterns are fixed values.
+# Features are characters of a kind per hundred; the patterns, fixed values, match
+# runs of all other characters.
 CHARACTER_KINDS = {
-    "lower_pct": "[^a-z]",
-    "upper_pct": "[^A-Z]",
-    "digit_pct": "[^0-9]",
-    "stop_pct": "[^.,;:!?]",
-    "space_pct": "[^ ]",
+    "lower_pct": "[^a-z]+",
+    "upper_pct": "[^A-Z]+",
+    "digit_pct": "[^0-9]+",
+    "stop_pct": "[^.,;:!?]+",
+    "space_pct": "[^ ]+",
 }
 
 
@@ -136,7 +137,7 @@ def documents_sql(spec: DatasetSpec, table_name: str = "documents JOIN labels US
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return attach_labels(documents, labels, "doc_id")
 

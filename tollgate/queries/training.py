@@ -13,7 +13,7 @@ from ..operators.features import class_weights, feature_stages, folds, split, wi
 from ..operators.metrics import auc, metrics
 from ..operators.train import best_run, fit, retrain, score, search
 from ..plans.validate import score_models
-from ..session import scratch
+from ..session import scratch, spread
 from ..sources.files import write_clean
 from ..sources.logs import RUNS, read_log
 from ..sources.models import load_model, save_model
@@ -91,7 +91,8 @@ FROM d"""
 
 
 def returned_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_label(table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS), LINEITEM)
+    items = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    return with_label(spread(items), LINEITEM)
 
 
 def _item_scores(scored: DataFrame) -> DataFrame:
@@ -282,6 +283,7 @@ def logistic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = documents_spec(tuple(DOCUMENTS.numeric), categorical=("lang",), scale=True)
     df = class_weights(with_label(labelled_documents(spark, sf_dir), spec), "bad")
     grid = {"family": "logistic", "regParam": [0.001, 0.1], "elasticNetParam": [0.0, 0.5]}
+    grid["maxIter"] = [20]
     _, _, found = search(df, spec, grid, weight="weight")
     return found.select(
         "setting",
@@ -300,7 +302,7 @@ _LOADED = date(2024, 1, 2)
 def retrain_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned documents in two loads, English ones in the second;
     a model trained on the second, and the run as logged."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     day = F.when(F.col("lang") == "en", F.lit(_LOADED)).otherwise(F.lit(date(2024, 1, 1)))
     clean_path, runs_path, models = (scratch(spark, n) for n in ("clean", "runs", "models"))
     loaded = documents.withColumns({"_status": F.lit("kept"), "load_date": day})

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_SHUFFLE_PARTITIONS = "200"
 _local_roots: dict[str, str] = {}
@@ -36,6 +36,17 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with work for every core.
+
+    A large table comes in many splits and stays as it is. One that is read in
+    fewer pieces than there are cores, such as one compressed file, is dealt out
+    evenly before work that costs more than moving its rows.
+    """
+    width = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(width) if scan.rdd.getNumPartitions() < width else scan
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the cluster's shared checkpoint folder.
 
