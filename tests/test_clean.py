@@ -81,17 +81,19 @@ def test_null_policy(spark):
     assert [tuple(r) for r in null_policy(df, SPEC).collect()] == [("1", None, "5", "card")]
 
 
-def test_observed_counts_equal_the_report(spark):
-    from pyspark.sql import Observation
-
+def test_observed_counts_equal_the_report(spark, path):
     rows = [(str(i), None, str(i * 30), "cash") for i in range(10)]
-    tagged = tag(spark.createDataFrame(rows, TEXT), SPEC)
-    report = {r.rule: r.n for r in clean_report(tagged).collect()}
-    observation = Observation("clean")
-    observe_clean(tagged, observation, ["amount_range"]).write.format("noop").mode(
-        "overwrite"
-    ).save()
-    assert observation.get == report
+    df = spark.createDataFrame(rows, TEXT)
+    report = {r.rule: r.n for r in clean_report(tag(df, SPEC)).collect()}
+    df.write.parquet(path("in"))
+    stream = tag(spark.readStream.schema(df.schema).parquet(path("in")), SPEC)
+    query = (
+        observe_clean(stream, "clean", ["amount_range"])
+        .writeStream.format("parquet").option("path", path("out"))
+        .option("checkpointLocation", path("checkpoint")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert query.lastProgress.observedMetrics["clean"].asDict() == report
 
 
 def test_dedup_keeps_the_first_in_order(spark):

@@ -126,7 +126,11 @@ def clean_report(tagged: DataFrame) -> DataFrame:
 
 
 def observe_clean(tagged: DataFrame, name: str, rules: Sequence[str] = ()) -> DataFrame:
-    """C7 on streams: the same counts as observed metrics of every micro-batch."""
+    """C7 on streams: the same counts as observed metrics of every micro-batch.
+
+    They are in the progress report under ``name``. An Observation object would
+    give the session a part that cannot be sent to tasks with a fresh model.
+    """
     counts = [
         F.count("*").alias("rows_in"),
         F.count_if(F.col(STATUS) == "kept").alias("rows_kept"),
