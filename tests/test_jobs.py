@@ -58,6 +58,13 @@ def test_prepare_retrain_validate(spark, path):
     assert latest.count() == counts["rows_kept"]
     assert latest.select("day").distinct().count() == 3
 
+    # a late transaction replaces no other one of its day
+    late = spark.createDataFrame([("9999;2024-01-02 23:00:00;1.0;card",)], "value string")
+    late.write.mode("append").text(path("raw"))
+    prepare(spark, SPEC, path("raw"), path("checkpoint"), path("clean"))
+    export_latest(spark, SPEC, path("clean"), path("latest"), since)
+    assert spark.read.parquet(path("latest")).count() == counts["rows_kept"] + 1
+
     def train(grid):
         return retrain(
             spark, SPEC, since, clean_path=path("clean"), runs_path=path("runs"),

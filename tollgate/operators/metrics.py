@@ -22,6 +22,8 @@ from ..session import shuffle_width
 RANGE = "_range"
 SALT = "_salt"
 MAX_RANGES = 8_192
+# So few distinct scores are ranked by one task without being cut up.
+ONE_RANGE_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,10 @@ def score_cuts(df: DataFrame, score: str, ranges: int | None = None) -> ScoreCut
     return ScoreCuts(splits, {at[f]: share for f, share in shares.items()})
 
 
+def one_range() -> ScoreCuts:
+    return ScoreCuts((-math.inf, math.inf), {})
+
+
 def with_salt(df: DataFrame, keys: Sequence[str], cuts: ScoreCuts, width: int) -> DataFrame:
     """Spread a tied range over as many of ``width`` partitions as its share of rows asks for."""
     salts = [

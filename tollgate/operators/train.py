@@ -21,11 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from ..session import stored
 from ..spec import DatasetSpec
 from ..sources.logs import log_run
 from ..sources.models import save_model
 from .features import attach_labels, check_categories, feature_stages, folds, split, with_label
-from .metrics import auc, metrics
+from .metrics import ONE_RANGE_ROWS, auc, metrics, one_range, score_cuts
 
 FAMILIES = {
     "bayes": NaiveBayes,
@@ -86,6 +87,27 @@ def positive_probability() -> Column:
     return F.coalesce(F.get(vector_to_array("probability"), 1), F.lit(0.0))
 
 
+def score_models(
+    rows: DataFrame, spec: DatasetSpec, models: Mapping[str, PipelineModel]
+) -> DataFrame:
+    """Every labelled row scored by every model, stored once as ``(model, key..., label, p)``.
+
+    The rows are read once for all models. The result is needed twice, for the
+    score ranges and for the metric, and scoring is the dear part.
+    """
+    wide = rows
+    for i, model in enumerate(models.values()):
+        wide = score(wide, model).withColumnRenamed("p", f"_p{i}").drop("prediction")
+    pairs = F.array(
+        *[
+            F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("p"))
+            for i, name in enumerate(models)
+        ]
+    )
+    label = F.col(spec.label).cast("int").alias("label")
+    return stored(wide.select(*spec.key, label, F.inline(pairs)), "scored")
+
+
 def search(
     df: DataFrame,
     spec: DatasetSpec,
@@ -114,7 +136,8 @@ def search(
 
     kept = [spec.label, "fold", *([weight] if weight else [])]
     features, ready = _assemble(folds(df, spec.key, n_folds), spec, kept)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    kept_on = StorageLevel.MEMORY_AND_DISK
+    ready = ready.persist(kept_on)
 
     def evaluate(i: int) -> tuple[float | None, int]:
         scored = None
@@ -124,8 +147,13 @@ def search(
                 "fold", spec.label, positive_probability().alias("p")
             )
             scored = held_out if scored is None else scored.unionByName(held_out)
-        by_fold = auc(scored, ["fold"], "p", spec.label)
-        row = by_fold.agg(F.avg("auc").alias("metric"), F.count("auc").alias("folds")).first()
+        cells = scored.groupBy("fold", spec.label, "p").agg(F.count("*").alias("rows")).persist(kept_on)
+        try:
+            cuts = one_range() if cells.count() <= ONE_RANGE_ROWS else score_cuts(cells, "p")
+            by_fold = auc(cells, ["fold"], "p", spec.label, "rows", cuts)
+            row = by_fold.agg(F.avg("auc").alias("metric"), F.count("auc").alias("folds")).first()
+        finally:
+            cells.unpersist()
         return row.metric, row.folds
 
     try:
@@ -190,19 +218,18 @@ def retrain(
     """Search on the rows loaded since ``since``, save the model, log the run.
 
     A fifth of the keys is held out for the logged metrics and for validation.
+    Rows joined to labels are stored, since training passes over them several
+    times and each pass would join again.
     """
     rows = loaded_between(spark.read.parquet(clean_path), since, until)
     if labels is not None:
-        rows = attach_labels(rows, labels, list(spec.key))
+        rows = stored(attach_labels(rows, labels, list(spec.key)), "labelled")
     rows = split(with_label(rows, spec), spec.key, {"train": 80, "valid": 20})
     model, params, table = search(
         rows.filter(F.col("part") == "train"), spec, grid, n_folds=n_folds, weight=weight
     )
     run_id = uuid.uuid4().hex
-    held_out = score(rows.filter(F.col("part") == "valid"), model)
-    held_out = held_out.select(
-        F.lit(run_id).alias("model"), F.col(spec.label).alias("label"), "p"
-    )
+    held_out = score_models(rows.filter(F.col("part") == "valid"), spec, {run_id: model})
     measured = metrics(held_out).drop("model").first()
     run = {
         "run_id": run_id,

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import BROKEN, RAW, STATUS, clean_report, dedup
-from ..operators.train import loaded_between
 from ..sources.files import load_new, write_clean
 from ..spec import DatasetSpec
 
@@ -32,11 +31,18 @@ def prepare(
 def export_latest(
     spark: SparkSession, spec: DatasetSpec, clean_path: str, out: str, since: date
 ) -> None:
-    """Kept rows loaded since ``since``, the last loaded of each key, partitioned by the spec."""
-    rows = loaded_between(spark.read.parquet(clean_path), since).drop(STATUS, BROKEN, RAW)
+    """Write anew the partitions that rows loaded since ``since`` belong to.
+
+    A partition gets all its kept rows, old ones too, with the last loaded of each
+    key. A key is expected to stay in its partition.
+    """
+    kept = spark.read.parquet(clean_path).filter(F.col(STATUS) == "kept").drop(STATUS, BROKEN, RAW)
+    if spec.partition_cols:
+        touched = kept.filter(F.col("load_date") >= F.lit(since)).select(*spec.partition_cols)
+        kept = kept.join(touched.distinct(), list(spec.partition_cols), "left_semi")
     last_first = [F.desc("load_date")]
     if spec.event_time:
         last_first.append(F.desc(spec.event_time))
     named = {"load_date", spec.event_time, *spec.key}
-    rest = [F.asc(c) for c in rows.columns if c not in named]
-    write_clean(dedup(rows, list(spec.key), [*last_first, *rest]), out, spec.partition_cols)
+    rest = [F.asc(c) for c in kept.columns if c not in named]
+    write_clean(dedup(kept, list(spec.key), [*last_first, *rest]), out, spec.partition_cols)

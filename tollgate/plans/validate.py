@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.registry import champion, read_registry, register
-from ..operators.train import score
+from ..operators.train import score_models
 from ..operators.validate import (
     ALPHA,
     REPLICATES,
@@ -20,34 +18,13 @@ from ..operators.validate import (
     replicate_metric,
     t_test,
 )
-from ..session import scratch
+from ..session import stored
 from ..sources.models import load_model
 from ..spec import DatasetSpec
 
 METRIC = "roc_auc"
 
 
-def score_models(
-    rows: DataFrame, spec: DatasetSpec, models: Mapping[str, PipelineModel], path: str | None = None
-) -> DataFrame:
-    """Every labelled row scored by every model, stored once as ``(model, key..., label, p)``.
-
-    The rows are read once for all models. The result is needed twice, for the
-    score ranges and for the bootstrap, and scoring is the dear part.
-    """
-    spark = rows.sparkSession
-    path = path or scratch(spark, "scored")
-    wide = rows
-    for i, model in enumerate(models.values()):
-        wide = score(wide, model).withColumnRenamed("p", f"_p{i}").drop("prediction")
-    pairs = F.array(
-        *[F.struct(F.lit(m).alias("model"), F.col(f"_p{i}").alias("p")) for i, m in enumerate(models)]
-    )
-    label = F.col(spec.label).cast("int").alias("label")
-    wide.select(*spec.key, label, F.inline(pairs)).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def one_model(dist: DataFrame, model: str) -> DataFrame:
     return dist.filter(F.col("model") == model)
 
@@ -71,9 +48,7 @@ def validate(
     replicates = common_replicates(replicate_metric(bootstrap(scored, spec.key, n_rep)))
     # At most two models times n_rep rows: stored, so that the gate, the registry
     # and the answer below do not each run the bootstrap again.
-    path = scratch(spark, "replicates")
-    replicates.write.parquet(path)
-    dist = distribution(spark.read.parquet(path))
+    dist = distribution(stored(replicates, "replicates"))
     if last is None:
         passed = one_model(dist, "new").select(
             F.col("n").alias("n_new"), F.col("mean").alias("mean_new"), F.col("var").alias("var_new"),

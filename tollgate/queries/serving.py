@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.clean import dedup_stream
 from ..operators.scaling import recent, scaling_signal
 from ..operators.train import fit
-from ..session import scratch
+from ..session import scratch, spread
 from ..sources.logs import STREAM_METRICS, log_progress, read_log
 from ..spec import schema_of
 from ..streaming.messages import MESSAGES, decode, parse
@@ -29,7 +29,7 @@ _WIDE = "40 days"
 
 def _messages(spark: SparkSession, df: DataFrame, key: Column, value: Column, path: str) -> DataFrame:
     """Rows stored as messages and read back as a stream."""
-    rows = df.select(
+    rows = spread(df).select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit("in").alias("topic"),

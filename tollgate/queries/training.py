@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.features import class_weights, feature_stages, folds, split, with_label
 from ..operators.metrics import auc, metrics
-from ..operators.train import best_run, fit, retrain, score, search
-from ..plans.validate import score_models
+from ..operators.train import best_run, fit, retrain, score, score_models, search
 from ..session import scratch, spread
 from ..sources.files import write_clean
 from ..sources.logs import RUNS, read_log
@@ -92,7 +91,7 @@ FROM d"""
 
 def returned_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
-    return with_label(spread(items), LINEITEM)
+    return with_label(items, LINEITEM)
 
 
 def _item_scores(scored: DataFrame) -> DataFrame:
@@ -123,7 +122,7 @@ _ITEM_FOLD = percent_sql(
 
 
 def _bayes_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, found = search(returned_items(spark, sf_dir), LINEITEM, _GRID)
+    _, _, found = search(spread(returned_items(spark, sf_dir)), LINEITEM, _GRID)
     return found
 
 

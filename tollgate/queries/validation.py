@@ -18,7 +18,7 @@ from ..operators.validate import (
     t_test,
 )
 from ..plans.validate import METRIC, one_model, registry_row
-from ..session import scratch
+from ..session import scratch, stored
 from .data import auc_sql, word_sql
 from .training import TWO_MODELS_SQL, two_bayes_models
 
@@ -84,9 +84,7 @@ FROM dist"""
 
 def _tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every model against every one, so that better, worse and equal all occur."""
-    path = scratch(spark, "distribution")
-    _distribution(spark, sf_dir).write.parquet(path)
-    dist = spark.read.parquet(path)
+    dist = stored(_distribution(spark, sf_dir), "distribution")
     pairs = [("new", "prev"), ("prev", "new"), ("new", "new")]
     tests = [t_test(one_model(dist, a), one_model(dist, b)) for a, b in pairs]
     return tests[0].unionByName(tests[1]).unionByName(tests[2])
@@ -156,9 +154,8 @@ WITH {_TESTS_SQL} SELECT {_ROUNDED_SQL} FROM tested WHERE p < {ALPHA} AND mean_n
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The previous model registered first, then the new one if it passes the gate,
     then the new one once more, which is no better than itself."""
-    path, dists = scratch(spark, "registry"), scratch(spark, "distribution")
-    _distribution(spark, sf_dir).write.parquet(dists)
-    dist = spark.read.parquet(dists)
+    path = scratch(spark, "registry")
+    dist = stored(_distribution(spark, sf_dir), "distribution")
     new, prev = one_model(dist, "new"), one_model(dist, "prev")
     first = prev.select(
         F.col("n").alias("n_new"),

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_SHUFFLE_PARTITIONS = "200"
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_STATE = "org.apache.spark.sql.execution.streaming.state."
 _local_roots: dict[str, str] = {}
 
 
@@ -20,7 +22,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
     Event times are compared in UTC. Adaptive execution splits skewed join
     partitions and merges small ones, so the shuffle width only has to be large
-    enough: three tasks per core on a cluster, one per core in local mode.
+    enough: three tasks per core on a cluster, one per core in local mode. The keys
+    a stream has to remember are kept on disk, not in executor memory.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -29,6 +32,8 @@ def tune(spark: SparkSession) -> SparkSession:
         per_core = 1 if is_local(spark) else 3
         wanted = spark.sparkContext.defaultParallelism * per_core
         spark.conf.set("spark.sql.shuffle.partitions", str(max(wanted, 1)))
+    if spark.conf.get(_STATE_STORE) == f"{_STATE}HDFSBackedStateStoreProvider":
+        spark.conf.set(_STATE_STORE, f"{_STATE}RocksDBStateStoreProvider")
     return spark
 
 
@@ -60,3 +65,11 @@ def scratch(spark: SparkSession, name: str) -> str:
         app = spark.sparkContext.applicationId
         root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="tollgate-"))
     return f"{root.rstrip('/')}/tollgate/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and not
+    again when an executor is lost."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
