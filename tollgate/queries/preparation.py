@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean, clean_report, dedup, null_policy, tag
@@ -21,54 +21,49 @@ def _as_text(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return df.select("*", F.concat_ws(spec.delimiter, *fields).alias("line"))
 
 
-def _fault(every: int, kinds: int, kind: int):
-    key = F.col("o_orderkey")
-    return (key % every == 0) & (F.floor(key / every) % kinds == kind)
+# Orders below this price are spoilt, each priority's in its own way; orders above
+# the other one lose their priority, which has a default.
+_SPOILT_BELOW = 11_000
+_BARE_ABOVE = 490_000
+_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
-def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders as text fields; every 50th has one of five faults, and some
-    of the good ones have no priority, which has a default."""
-    df = table(spark, sf_dir, "orders")
-    df = df.select(*[F.col(c).cast("string").alias(c) for c in ORDERS.columns])
-
-    def fault(kind: int):
-        return _fault(50, 5, kind)
-
-    price = F.col("o_totalprice")
-    return df.withColumns(
-        {
-            "o_orderdate": F.when(fault(0), "notatime").otherwise(F.col("o_orderdate")),
-            "o_totalprice": F.when(fault(1), F.concat(F.lit("x"), price))
-            .when(fault(3), F.concat(F.lit("-"), price))
-            .otherwise(price),
-            "o_custkey": F.when(~fault(2), F.col("o_custkey")),
-            "o_orderstatus": F.when(fault(4), "X").otherwise(F.col("o_orderstatus")),
-            "o_orderpriority": F.when(F.col("o_orderkey") % 50 != 25, F.col("o_orderpriority")),
-        }
-    )
+def _fault(kind: int) -> Column:
+    spoilt = F.col("o_totalprice") < _SPOILT_BELOW
+    return spoilt & (F.col("o_orderpriority") == _PRIORITIES[kind])
 
 
-_FAULT_SQL = "(o_orderkey % 50 = 0 AND (o_orderkey // 50) % {kinds} = {kind})"
+def _fault_sql(kind: int) -> str:
+    return f"(o_totalprice < {_SPOILT_BELOW} AND o_orderpriority = '{_PRIORITIES[kind]}')"
 
 
-def _fault_sql(kind: int, kinds: int = 5) -> str:
-    return _FAULT_SQL.format(kind=kind, kinds=kinds)
+def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as text fields, some with a fault."""
+    price = F.col("o_totalprice").cast("string")
+    spoilt = {
+        "o_orderdate": F.when(_fault(0), "notatime").otherwise(seconds("o_orderdate")),
+        "o_totalprice": F.when(_fault(1), F.concat(F.lit("x"), price))
+        .when(_fault(3), F.concat(F.lit("-"), price))
+        .otherwise(price),
+        "o_custkey": F.when(~_fault(2), F.col("o_custkey")),
+        "o_orderstatus": F.when(_fault(4), "X").otherwise(F.col("o_orderstatus")),
+        "o_orderpriority": F.when(F.col("o_totalprice") <= _BARE_ABOVE, F.col("o_orderpriority")),
+    }
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(
+        *[spoilt.get(c, F.col(c)).cast("string").alias(c) for c in ORDERS.columns]
+    )
 
 
 def raw_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as text, every 50th line broken in one of four ways."""
+    """Orders written as text, some lines broken in one of four ways."""
     lines = _as_text(table(spark, sf_dir, "orders"), ORDERS)
     line = F.col("line")
-
-    def fault(kind: int):
-        return _fault(50, 4, kind)
-
     broken = (
-        F.when(fault(0), F.replace(line, seconds("o_orderdate"), F.lit("notatime")))
-        .when(fault(1), F.concat(F.lit("x"), line))
-        .when(fault(2), F.substring_index(line, ORDERS.delimiter, 3))
-        .when(fault(3), F.concat(line, F.lit("|extra")))
+        F.when(_fault(0), F.replace(line, seconds("o_orderdate"), F.lit("notatime")))
+        .when(_fault(1), F.concat(F.lit("x"), line))
+        .when(_fault(2), F.substring_index(line, ORDERS.delimiter, 3))
+        .when(_fault(3), F.concat(line, F.lit("|extra")))
         .otherwise(line)
     )
     path = scratch(spark, "orders-text")
@@ -87,13 +82,14 @@ def raw_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["raw_scan_typed"] = raw_scan_typed
 ORACLES["raw_scan_typed"] = f"""
-SELECT CASE WHEN {_fault_sql(1, 4)} THEN NULL ELSE o_orderkey END AS o_orderkey,
+SELECT CASE WHEN {_fault_sql(1)} THEN NULL ELSE o_orderkey END AS o_orderkey,
        o_custkey, o_orderstatus,
-       CASE WHEN {_fault_sql(2, 4)} THEN NULL ELSE o_totalprice END AS o_totalprice,
-       CASE WHEN {_fault_sql(0, 4)} OR {_fault_sql(2, 4)} THEN NULL
+       CASE WHEN {_fault_sql(2)} THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN {_fault_sql(0)} OR {_fault_sql(2)} THEN NULL
             ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS o_orderdate,
-       CASE WHEN {_fault_sql(2, 4)} THEN NULL ELSE o_orderpriority END AS o_orderpriority,
-       CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END AS is_corrupt
+       CASE WHEN {_fault_sql(2)} THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_totalprice < {_SPOILT_BELOW} AND o_orderpriority <> '5-LOW' THEN 1 ELSE 0 END
+       AS is_corrupt
 FROM orders"""
 
 
@@ -107,13 +103,13 @@ def clean_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(*_order_columns())
 
 
-_FILLED = "CASE WHEN o_orderkey % 50 = 25 THEN '3-MEDIUM' ELSE o_orderpriority END"
+_FILLED = f"CASE WHEN o_totalprice > {_BARE_ABOVE} THEN '3-MEDIUM' ELSE o_orderpriority END"
 QUERIES["clean_kept"] = clean_kept
 ORACLES["clean_kept"] = f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
        {_FILLED} AS o_orderpriority
-FROM orders WHERE o_orderkey % 50 <> 0"""
+FROM orders WHERE o_totalprice >= {_SPOILT_BELOW}"""
 
 
 def clean_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +137,7 @@ SELECT o_orderkey,
        CASE WHEN {_fault_sql(0)} THEN NULL
             ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS o_orderdate,
        o_orderpriority, {_RULE_SQL} AS rules, CAST(o_orderkey AS VARCHAR) AS raw_key
-FROM orders WHERE o_orderkey % 50 = 0"""
+FROM orders WHERE o_totalprice < {_SPOILT_BELOW}"""
 
 
 def clean_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
