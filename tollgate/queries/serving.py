@@ -149,7 +149,7 @@ def stream_volume_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["stream_volume_window"] = stream_volume_window
 ORACLES["stream_volume_window"] = """
-SELECT strftime(make_timestamp(CAST(epoch(ts) AS BIGINT) // 21600 * 21600 * 1000000),
+SELECT strftime(make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) // 21600 * 21600 * 1000000),
                 '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n
 FROM events GROUP BY 1"""
 
@@ -211,7 +211,8 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOAD_LOG_SQL = """
     log AS (
         SELECT event_type AS query_id,
-               CAST(epoch(ts) - epoch(TIMESTAMP '2024-01-01') AS BIGINT) // 21600 AS batch_id,
+               CAST(floor(epoch(ts) - epoch(TIMESTAMP '2024-01-01')) AS BIGINT) // 21600
+                   AS batch_id,
                count(*) AS n_in, avg(value) AS busy
         FROM events GROUP BY ALL),
     ratios AS (
