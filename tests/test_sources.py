@@ -50,7 +50,8 @@ def test_rerun_loads_nothing_and_a_new_file_only_its_rows(spark, path):
 
     def loaded():
         load_new(spark, *places)
-        return [r["count"] for r in spark.read.parquet(path("out")).groupBy("_status").count().orderBy("_status").collect()]
+        counts = spark.read.parquet(path("out")).groupBy("_status").count().orderBy("_status")
+        return [r["count"] for r in counts.collect()]
 
     assert loaded() == [20, 4]
     assert loaded() == [20, 4]

@@ -122,9 +122,9 @@ def search(
     all rows with the best parameters, these parameters, and one row per setting.
     Folds come from the key, so copies of a row never face each other. Features
     are assembled once and kept. A fold whose training rows are of one class is
-    left out. The settings run in driver threads that only
-    submit jobs. (Spark's CrossValidator is not used: with a fold column it calls
-    a Python function on every row, and its evaluator is binned by default.)
+    left out. The settings run in driver threads that only submit jobs. (Spark's
+    CrossValidator is not used: with a fold column it calls a Python function on
+    every row, and its evaluator is binned by default.)
     """
     grid = dict(grid)
     family = grid.pop("family")

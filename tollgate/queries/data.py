@@ -23,7 +23,12 @@ def seconds(col: str):
 ORDERS = DatasetSpec(
     name="orders",
     schema=schema_of(
-        o_orderkey="long", o_custkey="long", o_orderstatus="string", o_totalprice="double", o_orderdate="timestamp_ntz", o_orderpriority="string"
+        o_orderkey="long",
+        o_custkey="long",
+        o_orderstatus="string",
+        o_totalprice="double",
+        o_orderdate="timestamp_ntz",
+        o_orderpriority="string",
     ),
     key=("o_orderkey",),
     event_time="o_orderdate",
@@ -40,7 +45,11 @@ ORDERS = DatasetSpec(
 CUSTOMERS = DatasetSpec(
     name="customers",
     schema=schema_of(
-        c_custkey="long", c_name="string", c_nationkey="integer", c_acctbal="double", c_mktsegment="string"
+        c_custkey="long",
+        c_name="string",
+        c_nationkey="integer",
+        c_acctbal="double",
+        c_mktsegment="string",
     ),
     key=("c_custkey",),
     required=("c_custkey", "c_name"),
@@ -54,7 +63,11 @@ CUSTOMERS = DatasetSpec(
 EVENTS = DatasetSpec(
     name="events",
     schema=schema_of(
-        event_id="long", ts="timestamp_ntz", user_id="long", event_type="string", value="double"
+        event_id="long",
+        ts="timestamp_ntz",
+        user_id="long",
+        event_type="string",
+        value="double",
     ),
     key=("event_id",),
     event_time="ts",
@@ -69,7 +82,12 @@ EVENTS = DatasetSpec(
 LINEITEM = DatasetSpec(
     name="lineitem",
     schema=schema_of(
-        l_orderkey="long", l_linenumber="integer", l_quantity="double", l_discount="double", l_tax="double", l_linestatus="string"
+        l_orderkey="long",
+        l_linenumber="integer",
+        l_quantity="double",
+        l_discount="double",
+        l_tax="double",
+        l_linestatus="string",
     ),
     key=("l_orderkey", "l_linenumber"),
     label="returned",
@@ -107,9 +125,7 @@ def _share(pattern: str, flags: str = "") -> str:
 def documents_spec(kinds: tuple[str, ...], **changes) -> DatasetSpec:
     return DatasetSpec(
         name="documents",
-        schema=schema_of(
-        doc_id="long", text="string"
-    ),
+        schema=schema_of(doc_id="long", text="string"),
         key=("doc_id",),
         label="bad",
         label_expr="cast(quality = 0 as int)",

@@ -12,7 +12,7 @@ from ..operators.train import fit
 from ..session import scratch, spread
 from ..sources.logs import STREAM_METRICS, log_progress, read_log
 from ..spec import schema_of
-from ..streaming.messages import MESSAGES, decode, parse
+from ..streaming.messages import MESSAGES, decode
 from ..streaming.scoring import route_messages, score_messages
 from ..streaming.telemetry import volume_by_window
 from .data import LINEITEM, LINEITEM_FEATURES, bayes_sql, seconds, table
@@ -89,7 +89,8 @@ def stream_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = items.select(*LINEITEM.columns)
     whole = _row_json(sent)
     value = F.when(F.expr(_CUT_SHORT), F.substring(whole, 1, 20)).otherwise(whole)
-    stream = _messages(spark, sent, F.col("l_orderkey").cast("string"), value, scratch(spark, "messages"))
+    key = F.col("l_orderkey").cast("string")
+    stream = _messages(spark, sent, key, value, scratch(spark, "messages"))
     _, out = _run(route_messages(stream, LINEITEM, model, "scores", "bad"), spark)
     p = F.from_json("value", "p double")["p"]
     return out.select("topic", "key", F.round(F.when(F.col("topic") == "scores", p), 6).alias("p"))
