@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline, each with the query that applies it."""
 
-from . import mix, quality, urls
+from . import ann, langid, mix, quality, urls
 
-MODULES = (mix, quality, urls)
+MODULES = (mix, langid, urls, quality, ann)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -157,12 +157,13 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     A null text scores as an empty one; equal texts score alike; no rows give no rows.
     """
     docs = docs.drop(name)
+    names = [*docs.columns, name]
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = model.scores(statistics(rows_of(batch.column("text"))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], [*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], names)
 
     return docs.mapInArrow(scored, schema)
 
