@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.session import stored
+
 from .text import SPACES, Hasher, hashed, rows_of
 
 #: Labelled rows of each class used at most, on average: chosen by a hash of doc_id.
@@ -113,10 +115,27 @@ def model_of(sums: dict[int, tuple[float, np.ndarray, np.ndarray]]) -> Model:
     return Model(np.array([means[0], means[1]]), np.array(factors), np.array(logdets), prior)
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and ``stats`` of every row of ``docs``, stored: texts are read once and never
+    shuffled."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = pa.array(list(statistics(rows_of(batch.column("text")))), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), got], ["doc_id", "stats"])
+
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("stats", T.ArrayType(T.DoubleType()))])
+    return stored(docs.select("doc_id", "text").mapInArrow(measure, schema), "quality-stats")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, D)
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, 1 + D + D * D))
     for batch in batches:
-        x = statistics(rows_of(batch.column("text")))
+        x = _matrix(batch.column("stats"))
         y, w = np.array(batch.column("label")), np.array(batch.column("weight"))
         for c in (0, 1):
             z, v = x[y == c], w[y == c]
@@ -124,8 +143,8 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"sums": [total.ravel().tolist()]})
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: DataFrame | None = None) -> Model:
-    """Fit on the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, quality) covers.
+def train(stats: DataFrame, labels: DataFrame) -> Model:
+    """Fit on the rows of ``stats`` (doc_id, stats) that ``labels`` (doc_id, quality) covers.
 
     Labels other than 0 and 1 are left out. A class of more than MOST_ROWS rows is
     sampled by a hash of doc_id, and weighed by the inverse of its share.
@@ -135,8 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: DataFrame | None = None) ->
     share = {c: min(1.0, MOST_ROWS / n[c]) if n.get(c) else 1.0 for c in (0, 1)}
     kept = F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
     chosen = named.where(F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 30)) < kept * (1 << 30))
-    rows = docs.select("doc_id", "text").join(chosen.withColumn("weight", 1 / kept), "doc_id")
-    parts = rows.select("text", F.col("label").cast("int").alias("label"), "weight").mapInArrow(
+    rows = stats.join(chosen.withColumn("weight", 1 / kept), "doc_id")
+    parts = rows.select("stats", F.col("label").cast("int").alias("label"), "weight").mapInArrow(
         _sums, "sums array<double>"
     )
     summed = (
@@ -151,6 +170,18 @@ def train(docs: DataFrame, labels: DataFrame, learn: DataFrame | None = None) ->
     )
 
 
+def rated(stats: DataFrame, model: Model) -> DataFrame:
+    """doc_id and score of each row of ``stats``."""
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = pa.array(model.scores(_matrix(batch.column("stats"))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), got], ["doc_id", "score"])
+
+    schema = T.StructType([stats.schema["doc_id"], T.StructField("score", T.DoubleType())])
+    return stats.mapInArrow(rate, schema)
+
+
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with a column ``name``: how likely label 1 is. A column of that name is replaced.
 
@@ -176,8 +207,8 @@ def remainder(divisor: int):
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(3) != 1)
-    scored = score(docs, train(docs, labels)).drop("text")
-    return scored.select(
+    stats = measured(docs)
+    return rated(stats, train(stats, labels)).select(
         "doc_id", (remainder(3) == 1).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
