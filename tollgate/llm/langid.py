@@ -132,11 +132,12 @@ def train(docs: DataFrame) -> Model:
     names = sorted(r["lang"] for r in found)
     if not names:
         return Model([], np.zeros((0, 1), np.int8), np.zeros((BUCKETS, 1), np.float32), np.ones(1))
+    # at most MOST_LANGUAGES rows, so no text is shuffled to meet them
     rows = docs.sparkSession.createDataFrame(
         [(r["lang"], min(1.0, MOST_ROWS / r["count"])) for r in found], "lang string, kept double"
     )
     place = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30))
-    chosen = docs.join(rows, "lang").where(place < F.col("kept") * (1 << 30)).select("text", "lang")
+    chosen = docs.join(F.broadcast(rows), "lang").where(place < F.col("kept") * (1 << 30)).select("text", "lang")
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, np.ndarray] = {}
