@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline, each with the query that applies it."""
 
-from . import ann, langid, mix, pii, quality, urls
+from . import ann, decontaminate, langid, mix, pii, quality, urls
 
-MODULES = (mix, langid, urls, pii, quality, ann)
+MODULES = (mix, langid, urls, pii, quality, ann, decontaminate)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
