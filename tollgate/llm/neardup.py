@@ -252,7 +252,8 @@ def link(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
 
 def deduplicated(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are kept; of rows that repeat a kept doc_id, all."""
-    gone = link(docs, size=size, percent=percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = link(docs, size=size, percent=percent).where("NOT kept").select(F.col("doc_id").alias("__gone"))
+    gone = stored(gone.distinct(), "near-gone")
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 

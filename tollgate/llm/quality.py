@@ -199,6 +199,17 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     return docs.mapInArrow(scored, schema)
 
 
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = model.scores(statistics(rows_of(batch.column("text"))))
+            yield batch.filter(pa.array(got >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def remainder(divisor: int):
     """crc32 of doc_id as text, modulo ``divisor``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
