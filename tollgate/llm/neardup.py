@@ -5,8 +5,10 @@ are one class, found by a 128-bit hash of the set; the rest works on classes. Mi
 samples of a set are banded into bucket keys, and folded into an odd sketch: a bitmap
 in which each sample flips one bit, so that the population count of two sketches' XOR
 tells how many samples differ, most precisely where few do. A pair that shares a
-bucket is a candidate; the sketches discard it unless it may reach the threshold; what
-is left is confirmed on the full sets.
+bucket is a candidate; the sketches discard it unless it may reach the threshold. So
+does a second parity bitmap, of the full set: two sets differ in at least as many
+elements as their bitmaps differ in bits, which bounds the similarity from above and
+never discards a link. What is left is confirmed on the full sets.
 
 A bucket of n classes never gives its n * n pairs. First each member meets only the
 bucket's smallest id, and confirmed links make components. Then only members of one
@@ -33,8 +35,11 @@ from .text import SPACES, Hasher, hashed, mixed, rows_of, signed
 BANDS, ROWS = 48, 5
 SAMPLES = BANDS * ROWS
 #: Bits of an odd sketch, and the most that may differ. At similarity 0.8, 96 of 480
-#: samples differ, give or take 12, and 88 bits; 200 bits are more than six deviations.
-SKETCH_BITS, MOST_BITS = 1024, 200
+#: samples differ, give or take 12, and 88 bits, give or take 12; 160 bits are six
+#: deviations away.
+SKETCH_BITS, MOST_BITS = 1024, 160
+#: Bits of the parity bitmap of a full set.
+PARITY_BITS = 2048
 
 _U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -72,8 +77,12 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
     """Samples folded into a parity bitmap of 64-bit words."""
-    at = (mixed(samples + _PLACES) % _U(SKETCH_BITS)).astype(np.int64)
-    bits = np.bincount(at, minlength=SKETCH_BITS) & 1
+    return parity(mixed(samples + _PLACES), SKETCH_BITS)
+
+
+def parity(values: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bits, each flipped once by every value that falls on it."""
+    bits = np.bincount((values % _U(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
@@ -91,13 +100,13 @@ def _sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, h1, h2 (a hash of the set), keys and sketch of each row, stored."""
+    """doc_id, n, h1, h2 (a hash of the set), keys, sketch and bits of each row, stored."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "h1", "h2", "keys", "sketch"]
+        names = ["doc_id", "n", "h1", "h2", "keys", "sketch", "bits"]
         longs = pa.list_(pa.int64())
         for batch in batches:
-            n, h1, h2, keys, sketches = [], [], [], [], []
+            n, h1, h2, keys, sketches, bits = [], [], [], [], [], []
             for own in _sets(rows_of(batch.column("text")), size):
                 n.append(len(own))
                 h1.append(int(signed(mixed(own ^ _U(0x51ED27))).sum()))
@@ -106,17 +115,19 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     samples = minhash(own)
                     keys.append(signed(band_keys(samples)))
                     sketches.append(signed(odd_sketch(samples)))
+                    bits.append(signed(parity(own, PARITY_BITS)))
                 else:
                     keys.append(None)
                     sketches.append(None)
+                    bits.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n, h1, h2)],
-                 pa.array(keys, longs), pa.array(sketches, longs)],
+                 *[pa.array(x, longs) for x in (keys, sketches, bits)]],
                 names,
             )
 
     fields = [T.StructField(c, T.LongType()) for c in ("doc_id", "n", "h1", "h2")]
-    fields += [T.StructField(c, T.ArrayType(T.LongType())) for c in ("keys", "sketch")]
+    fields += [T.StructField(c, T.ArrayType(T.LongType())) for c in ("keys", "sketch", "bits")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return stored(rows.mapInArrow(sign, T.StructType(fields)), "near-signatures")
 
@@ -168,7 +179,10 @@ def differing(a: Column, b: Column) -> Column:
 def _may_link(a: str, b: str, percent: int) -> Column:
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     sizes = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
-    return sizes & (differing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= MOST_BITS)
+    near = differing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) <= MOST_BITS
+    apart = differing(F.col(f"{a}.bits"), F.col(f"{b}.bits"))
+    # |intersection| <= (na + nb - apart) / 2 and |union| >= (na + nb + apart) / 2
+    return sizes & near & (100 * (na + nb - apart) >= percent * (na + nb + apart))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -196,13 +210,13 @@ def link(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     classes = stored(
         signed_rows.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("n", "h1", "h2")
-        .agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")),
+        .agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("keys", "sketch", "bits")]),
         "near-classes",
     )
     members = classes.select(F.explode("keys").alias("key"), "id")
     buckets = members.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("size"))
     shared = stored(members.join(buckets.where("size > 1"), "key").select("key", "id", "lead"), "near-buckets")
-    sketches = classes.select("id", "n", "sketch")
+    sketches = classes.select("id", "n", "sketch", "bits")
 
     stars = shared.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     stars = (
