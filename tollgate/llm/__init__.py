@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline, each with the query that applies it."""
 
-from . import ann, decontaminate, langid, mix, neardup, pii, quality, substrings, urls
+from . import ann, decontaminate, langid, mix, neardup, pii, quality, substrings, toxicity, urls
 
-MODULES = (mix, neardup, langid, substrings, urls, pii, quality, ann, decontaminate)
+MODULES = (mix, neardup, langid, toxicity, substrings, urls, pii, quality, ann, decontaminate)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
