@@ -196,7 +196,8 @@ def units(docs: DataFrame) -> DataFrame:
                     {"one": signed(one), "two": signed(two), "doc_id": ids[doc], "low": at.astype(np.int32), "high": to.astype(np.int32)}
                 )
 
-    rows = stored(docs.mapInArrow(occurrences, "one long, two long, doc_id long, low int, high int"), "substring-units")
+    # read twice rather than stored: windows are many, and hashing them again is cheap
+    rows = docs.mapInArrow(occurrences, "one long, two long, doc_id long, low int, high int")
     place = F.struct("doc_id", "low")
     firsts = (
         rows.groupBy("one", "two")
@@ -240,9 +241,13 @@ def parse(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
 
 
 def factors(docs: DataFrame) -> DataFrame:
-    """doc_id and ``ranges``, the copied ranges of each document that has any."""
+    """doc_id and ``ranges`` of each document that has copied ranges: struct<span, ref_doc,
+    ref_low>, a span being low * 2 ** 32 + high."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return units(docs).groupBy("doc_id").agg(F.collect_list(F.struct("low", "high", "ref_doc", "ref_low")).alias("ranges"))
+    span = F.shiftleft(F.col("low").cast("long"), 32) + F.col("high")
+    return units(docs).groupBy("doc_id").agg(
+        F.collect_list(F.struct(span.alias("span"), "ref_doc", "ref_low")).alias("ranges")
+    )
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -263,9 +268,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
         for batch in batches:
             n, gone, kept, parsed = [], [], [], []
-            for text, ranges in zip(rows_of(batch.column("text")), batch.column("ranges").to_pylist(), strict=True):
+            ranges = batch.column("ranges")
+            ends, flat = ranges.offsets.to_numpy(), [ranges.values.field(i).to_numpy() for i in range(3)]
+            for k, text in enumerate(rows_of(batch.column("text"))):
                 words = text.split()  # of bytes: at 0x20 and 0x09 to 0x0D
-                out = parse([(r["low"], r["high"], r["ref_doc"], r["ref_low"]) for r in ranges or []])
+                span, ref_doc, ref_low = (c[ends[k] : ends[k + 1]] for c in flat)
+                columns = (span >> 32, span & 0xFFFFFFFF, ref_doc, ref_low)
+                out = parse(list(zip(*[c.tolist() for c in columns], strict=True)))
                 stay, at = [], 0
                 for start, length, _, _ in out:
                     stay += words[at:start]
