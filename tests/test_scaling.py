@@ -25,7 +25,16 @@ def test_low_load_asks_for_less(spark):
 
 
 def test_unmeasured_batches_are_ignored(spark):
-    assert signals(spark, [0.9, 0.0, 0.9, 0.0, 0.9, 0.9])[-1] == "hold"
+    assert signals(spark, [0.9, None, 0.9, None, 0.9, 0.9])[-1] == "hold"
+
+
+def test_an_idle_cluster_shrinks(spark):
+    assert signals(spark, [None] + [0.0] * 6) == ["hold"] * 5 + ["in"] * 2
+
+
+def test_repeated_rows_count_once(spark):
+    rows = [("q", i, 90.0, 100.0) for i in (0, 0, 0, 1, 1)]
+    assert {r.signal for r in scaling_signal(spark.createDataFrame(rows, LOG)).collect()} == {"hold"}
 
 
 def test_no_output_is_no_ratio(spark):

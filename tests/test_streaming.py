@@ -94,13 +94,16 @@ def test_stream_scores_equal_batch_scores(spark, rows, path):
 def test_routing_keeps_every_message(spark, rows, path):
     model = fit(rows, SPEC, {"family": "bayes"})
     good = encode(rows.select("id", "amount", "kind"), ["id"]).select("value")
-    bad = spark.createDataFrame([("{",), ("text",), ('{"id": 1, "amount": "x"}',)], "value string")
+    bad = spark.createDataFrame([("{",), ("text",), ('{"id": 1, "amount": "x"}',),
+         ('{"id": 7, "kind": "card"}',), ('{"id": 8, "amount": null}',), ("[]",)], "value string")
     as_messages(good.union(bad)).write.parquet(path("in"))
     stream = spark.readStream.schema(MESSAGES).parquet(path("in"))
     _, out = run(route_messages(stream, SPEC, model, "scores", "bad"), path, "out")
     counts = {r.topic: r["count"] for r in out.groupBy("topic").count().collect()}
-    assert counts == {"scores": 500, "bad": 3}
+    assert counts == {"scores": 500, "bad": 6}
     assert {r.value for r in out.filter("topic = 'bad'").collect()} == {r.value for r in bad.collect()}
+    why = out.filter("topic = 'bad'").select(F.col("headers")[0]["value"].cast("string")).collect()
+    assert sorted(r[0] for r in why) == ["number:amount"] * 2 + ["unreadable"] * 4
 
 
 def test_repeats_are_dropped_once_across_files(spark, path):

@@ -120,9 +120,13 @@ def test_gate(spark):
     assert not passes(0.801, 0.8)
 
 
-def test_no_variance_gives_no_t(spark):
+def test_no_variance_decides_by_the_means(spark):
     row = t_test(dist(spark, "n", 0.9, 0.0), dist(spark, "p", 0.8, 0.0)).first()
-    assert row.t is None and row.p is None and row.df == 198
+    assert row.t == float("inf") and row.p == 0 and row.df == 198
+    row = t_test(dist(spark, "n", 0.8, 0.0), dist(spark, "p", 0.8, 0.0)).first()
+    assert row.t is None and row.p is None
+    assert promote(t_test(dist(spark, "n", 1.0, 0.0), dist(spark, "p", 0.5, 0.0))).count() == 1
+    assert promote(t_test(dist(spark, "n", 0.5, 0.0), dist(spark, "p", 1.0, 0.0))).count() == 0
 
 
 def test_distribution(spark):

@@ -144,6 +144,10 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return top / F.nullif(bottom, F.lit(0.0))
 
 
+def usable(df: DataFrame, score: str) -> DataFrame:
+    return df.filter(F.col(score).isNotNull() & ~F.isnan(score))
+
+
 def auc(
     df: DataFrame,
     by: Sequence[str],
@@ -152,9 +156,12 @@ def auc(
     weight: str | None = None,
     cuts: ScoreCuts | None = None,
 ) -> DataFrame:
-    """Exact ROC AUC per group; null where a class is missing."""
+    """Exact ROC AUC per group; null where a class is missing.
+
+    A row whose score is null or NaN has no rank and is left out.
+    """
     if RANGE not in df.columns:
-        df = with_range(df, score, cuts or score_cuts(df, score))
+        df = with_range(usable(df, score), score, cuts or score_cuts(df, score))
     totals = rank_totals(df, by, score, label, weight)
     value = _ratio(F.col("pairs"), F.col("pos") * F.col("neg"))
     return totals.select(*by, value.alias("auc"))
@@ -171,8 +178,9 @@ def metrics(
     """T5: confusion counts, precision, recall, F1 and ROC AUC per group, in one pass.
 
     A row is predicted positive if its score is above the threshold. A measure
-    without a denominator is null.
+    without a denominator is null. Rows whose score is null or NaN are left out.
     """
+    scored = usable(scored, score)
     cuts = cuts or score_cuts(scored, score)
     above = F.col(score) > threshold
     hits = {

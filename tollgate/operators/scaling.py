@@ -38,11 +38,13 @@ def scaling_signal(
 ) -> DataFrame:
     """K6: ``out``, ``in`` or ``hold`` after every batch.
 
-    The measure is input rate over processing rate, averaged over n batches. A
-    batch without measured rates has no ratio, and until n batches have one the
-    signal is ``hold``.
+    The measure is input rate over processing rate, averaged over n batches. Nothing
+    coming in is a load of 0. A batch without measured rates has no ratio, and until
+    n batches have one the signal is ``hold``. Of rows that repeat a batch one counts.
     """
-    ratio = F.when(F.col("in_rate") > 0, F.col("in_rate") / F.nullif("out_rate", F.lit(0.0)))
+    stream_metrics = stream_metrics.dropDuplicates(["query_id", "batch_id"])
+    busy = F.col("in_rate") / F.nullif("out_rate", F.lit(0.0))
+    ratio = F.when(F.col("in_rate") == 0, 0.0).when(F.col("in_rate") > 0, busy)
     load = recent(stream_metrics.withColumn("ratio", ratio), n, "ratio")
     full = F.col("ratio_count") >= n
     signal = (

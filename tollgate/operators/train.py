@@ -25,7 +25,17 @@ from ..session import stored
 from ..spec import DatasetSpec
 from ..sources.logs import log_run
 from ..sources.models import save_model
-from .features import attach_labels, check_categories, feature_stages, folds, split, with_label
+from ..sources.files import LOAD, read_clean
+from .clean import dedup
+from .features import (
+    attach_labels,
+    check_categories,
+    class_weights,
+    feature_stages,
+    folds,
+    split,
+    with_label,
+)
 from .metrics import ONE_RANGE_ROWS, auc, metrics, one_range, score_cuts
 
 FAMILIES = {
@@ -201,6 +211,37 @@ def loaded_between(clean: DataFrame, since: date, until: date | None = None) ->
     return rows if until is None else rows.filter(F.col("load_date") < F.lit(until))
 
 
+def training_rows(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    clean_path: str,
+    since: date,
+    until: date | None = None,
+    labels: DataFrame | None = None,
+) -> DataFrame:
+    """The last loaded row of each key, labelled and split into ``part``, stored."""
+    rows = loaded_between(read_clean(spark, spec, clean_path), since, until)
+    last = [F.desc("load_date"), F.desc(LOAD)]
+    last += [F.desc(c) for c in spec.columns if c not in spec.key]
+    rows = dedup(rows, list(spec.key), last).select(*spec.columns)
+    if labels is not None:
+        rows = attach_labels(rows, labels, list(spec.key))
+    rows = with_label(rows, spec).select(*spec.columns, spec.label)
+    return stored(split(rows, spec.key, {"train": 80, "valid": 20}), "training-rows")
+
+
+def held_out(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    clean_path: str,
+    since: date,
+    until: date | None = None,
+    labels: DataFrame | None = None,
+) -> DataFrame:
+    """The rows that ``retrain`` with the same arguments does not train on."""
+    return training_rows(spark, spec, clean_path, since, until, labels).filter("part = 'valid'")
+
+
 def retrain(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -217,20 +258,20 @@ def retrain(
 ) -> dict:
     """Search on the rows loaded since ``since``, save the model, log the run.
 
-    A fifth of the keys is held out for the logged metrics and for validation.
-    Rows joined to labels are stored, since training passes over them several
-    times and each pass would join again.
+    Of the rows with one key the last loaded counts. A fifth of the keys is held out
+    for the logged metrics and for validation; ``held_out`` gives them. ``weight``
+    names a column that gets class weights, taken from the training part. The rows
+    are stored, with the columns that the spec names, since training passes over
+    them several times.
     """
-    rows = loaded_between(spark.read.parquet(clean_path), since, until)
-    if labels is not None:
-        rows = stored(attach_labels(rows, labels, list(spec.key)), "labelled")
-    rows = split(with_label(rows, spec), spec.key, {"train": 80, "valid": 20})
-    model, params, table = search(
-        rows.filter(F.col("part") == "train"), spec, grid, n_folds=n_folds, weight=weight
-    )
+    rows = training_rows(spark, spec, clean_path, since, until, labels)
+    fitted = rows.filter(F.col("part") == "train")
+    if weight is not None:
+        fitted = class_weights(fitted, spec.label, weight)
+    model, params, table = search(fitted, spec, grid, n_folds=n_folds, weight=weight)
     run_id = uuid.uuid4().hex
-    held_out = score_models(rows.filter(F.col("part") == "valid"), spec, {run_id: model})
-    measured = metrics(held_out).drop("model").first()
+    scored = score_models(rows.filter(F.col("part") == "valid"), spec, {run_id: model})
+    measured = metrics(scored).drop("model").first()
     run = {
         "run_id": run_id,
         "model_name": spec.name,

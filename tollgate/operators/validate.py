@@ -104,8 +104,8 @@ def distribution(replicates: DataFrame) -> DataFrame:
 def t_test(dist_new: DataFrame, dist_prev: DataFrame) -> DataFrame:
     """V4: two-sample t-test with pooled variance, two-sided; one row.
 
-    Both inputs are one row of V3 with equal ``n``. Equal samples without any
-    variance give a null ``t``.
+    Both inputs are one row of V3 with equal ``n``. Without any variance, different
+    means give an infinite ``t`` and a ``p`` of 0, equal means null.
     """
     sides = dist_new.withColumn("_new", F.lit(True)).unionByName(
         dist_prev.withColumn("_new", F.lit(False))
@@ -129,9 +129,17 @@ def t_test(dist_new: DataFrame, dist_prev: DataFrame) -> DataFrame:
     pooled = inside / F.nullif(free.cast("double"), F.lit(0.0))
     error = F.sqrt(pooled * (1.0 / F.nullif(F.col("n_new").cast("double"), F.lit(0.0))
                              + 1.0 / F.nullif(F.col("n_prev").cast("double"), F.lit(0.0))))
-    t = (F.col("mean_new") - F.col("mean_prev")) / F.nullif(error, F.lit(0.0))
-    return row.withColumn("df", free).withColumn("t", t).withColumn(
-        "p", two_sided_p(F.col("t"), F.col("df"))
+    gap = F.col("mean_new") - F.col("mean_prev")
+    certain = (error == 0) & (gap != 0)
+    t = gap / F.nullif(error, F.lit(0.0))
+    p = two_sided_p(F.col("t"), F.col("df"))
+    tested = row.withColumn("df", free).withColumn("t", t).withColumn("p", p)
+    endless = F.signum(gap) * F.lit(float("inf"))
+    return tested.withColumns(
+        {
+            "t": F.when(certain, endless).otherwise(F.col("t")),
+            "p": F.when(certain, F.lit(0.0)).otherwise(F.col("p")),
+        }
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import BROKEN, RAW, STATUS, clean_report, dedup
-from ..sources.files import load_new, write_clean
+from ..session import stored
+from ..sources.files import LOAD, clean_schema, load_new, read_clean, write_clean
 from ..spec import DatasetSpec
 
 
@@ -19,30 +20,64 @@ def prepare(
     checkpoint: str,
     clean_path: str,
     since: date | None = None,
+    max_files: int | None = 10_000,
 ) -> DataFrame:
-    """Load what is new; returns the cleaning report of the rows loaded since ``since``."""
-    load_new(spark, raw_path, spec, checkpoint, clean_path)
-    loaded = spark.read.parquet(clean_path)
+    """Load what is new; returns the cleaning report of these loads, or of all rows loaded
+    since ``since``. Only the partitions of what is reported are read."""
+    loads = load_new(spark, raw_path, spec, checkpoint, clean_path, max_files)
+    loaded = read_clean(spark, spec, clean_path)
     if since is not None:
-        loaded = loaded.filter(F.col("load_date") >= F.lit(since))
-    return clean_report(loaded)
+        return clean_report(loaded.filter(F.col("load_date") >= F.lit(since)))
+    return clean_report(loaded.filter(F.col(LOAD).isin(loads)))
 
 
 def export_latest(
     spark: SparkSession, spec: DatasetSpec, clean_path: str, out: str, since: date
 ) -> None:
-    """Write anew the partitions that rows loaded since ``since`` belong to.
+    """Write anew the partitions that the keys loaded since ``since`` are or were in.
 
-    A partition gets all its kept rows, old ones too, with the last loaded of each
-    key. A key is expected to stay in its partition.
+    A partition gets the last loaded row of each key that now belongs to it, of old
+    loads too. A key may move to another partition: the one it leaves is written as
+    well, and removed when nothing is left in it.
     """
-    kept = spark.read.parquet(clean_path).filter(F.col(STATUS) == "kept").drop(STATUS, BROKEN, RAW)
-    if spec.partition_cols:
-        touched = kept.filter(F.col("load_date") >= F.lit(since)).select(*spec.partition_cols)
-        kept = kept.join(touched.distinct(), list(spec.partition_cols), "left_semi")
-    last_first = [F.desc("load_date")]
+    kept = read_clean(spark, spec, clean_path).filter(F.col(STATUS) == "kept").drop(STATUS, BROKEN, RAW)
+    last_first = [F.desc("load_date"), F.desc(LOAD)]
     if spec.event_time:
         last_first.append(F.desc(spec.event_time))
-    named = {"load_date", spec.event_time, *spec.key}
-    rest = [F.asc(c) for c in kept.columns if c not in named]
-    write_clean(dedup(kept, list(spec.key), [*last_first, *rest]), out, spec.partition_cols)
+    named = {"load_date", LOAD, spec.event_time, *spec.key}
+    last_first += [F.asc(c) for c in kept.columns if c not in named]
+    if not spec.partition_cols:
+        write_clean(dedup(kept, list(spec.key), last_first), out)
+        return
+    fresh = kept.filter(F.col("load_date") >= F.lit(since)).select(*spec.key).distinct()
+    places = _semi(kept, fresh, spec.key).select(*spec.partition_cols).distinct()
+    places = stored(places, "touched-partitions")
+    # every row of each key that has one there, so that its last row is known
+    keys = _semi(kept, places, spec.partition_cols).select(*spec.key).distinct()
+    last = dedup(_semi(kept, keys, spec.key), list(spec.key), last_first)
+    last = stored(_semi(last, places, spec.partition_cols), "latest")
+    write_clean(last, out, spec.partition_cols)
+    emptied = places.exceptAll(last.select(*spec.partition_cols).distinct())
+    for place in emptied.toLocalIterator():
+        _remove_partition(spark, out, spec, place)
+
+
+def _semi(df: DataFrame, other: DataFrame, columns) -> DataFrame:
+    """Rows of ``df`` whose ``columns``, nulls too, are in ``other``."""
+    other = other.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(columns)]
+    return df.join(other, same, "left_semi")
+
+
+def _remove_partition(spark: SparkSession, out: str, spec: DatasetSpec, place) -> None:
+    """Delete one partition's files, found by its values."""
+    types = {f.name: f.dataType for f in clean_schema(spark, spec)}
+    table = spark.read.schema(",".join(f"`{c}` {types[c].simpleString()}" for c in spec.partition_cols))
+    rows = table.parquet(out)
+    for c in spec.partition_cols:
+        rows = rows.filter(F.col(c).eqNullSafe(F.lit(place[c]).cast(types[c])))
+    files = [r[0] for r in rows.select("_metadata.file_path").distinct().toLocalIterator()]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        path.getFileSystem(conf).delete(path, False)

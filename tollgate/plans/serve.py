@@ -34,8 +34,9 @@ def serve(
     last = champion(read_registry(spark, registry_path), spec.name).first()
     if last is None:
         raise LookupError(f"no registered version of {spec.name}")
-    spark.streams.addListener(LoadLog(spark, load_log, flush_every=10))
+    name = f"score_{spec.name}_v{last.version}"
+    spark.streams.addListener(LoadLog(spark, load_log, flush_every=10, name=name))
     routed = route_messages(
         read_kafka(spark, source), spec, load_model(last.model_uri), out_topic, bad_topic
     )
-    return write_kafka(routed, sink, checkpoint, name=f"score_{spec.name}_v{last.version}")
+    return write_kafka(routed, sink, checkpoint, name=name)

@@ -1,4 +1,12 @@
-from .files import anti_manifest, load_new, new_files, read_raw, scan_text, write_clean
+from .files import (
+    anti_manifest,
+    load_new,
+    new_files,
+    read_clean,
+    read_raw,
+    scan_text,
+    write_clean,
+)
 from .kafka import read_kafka, write_kafka
 from .logs import log_progress, log_run, read_log
 from .models import load_model, save_model
@@ -10,6 +18,7 @@ __all__ = [
     "log_progress",
     "log_run",
     "new_files",
+    "read_clean",
     "read_kafka",
     "read_log",
     "read_raw",

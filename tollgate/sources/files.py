@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..operators.clean import CORRUPT, cast_columns, tag
+from ..operators.clean import BROKEN, CORRUPT, RAW, STATUS, cast_columns, tag
 from ..spec import DatasetSpec
 
 # A manifest of at most this many paths (some 200 bytes each) is broadcast.
 MANIFEST_BROADCAST_ROWS = 100_000
 
+# By default a file stream leaves out files a week older than the newest one.
+ANY_AGE = "36500d"
+LOAD = "load_id"
+
 
 def scan_text(spark: SparkSession, path: str, spec: DatasetSpec, stream: bool = False, **options):
     """S1, untyped: one string per field, wrong field counts in ``_corrupt``.
@@ -52,28 +56,70 @@ def load_new(
     spec: DatasetSpec,
     checkpoint: str,
     out: str,
-    max_files: int | None = None,
-) -> StreamingQuery:
-    """Clean the files not loaded before and append them to ``out``, then stop.
+    max_files: int | None = 10_000,
+) -> list[str]:
+    """Clean the files not loaded before and add them to ``out``, then stop.
 
     Kept and rejected rows go to one table under ``_status``, so each raw line is
-    parsed once and a load is one atomic commit. The checkpoint records the files
-    read: a rerun, or a run after a crash, takes every file exactly once.
+    parsed once. The checkpoint records the files read, however old they are. A
+    load of at most ``max_files`` files has an id, made of the checkpoint's own id
+    and the batch, and is a partition of the table: a load that is tried again
+    replaces what its first try has left, and another checkpoint's loads stay
+    apart. Returns the ids of the loads made.
     """
-    options = {} if max_files is None else {"maxFilesPerTrigger": max_files}
+    options = {"maxFileAge": ANY_AGE}
+    if max_files is not None:
+        options["maxFilesPerTrigger"] = max_files
     raw = scan_text(spark, path, spec, stream=True, **options)
-    tagged = tag(raw, spec).withColumn("load_date", F.current_date())
+    tagged = with_partition_columns(tag(raw, spec), spec)
+    done: list[str] = []
+
+    def store(batch: DataFrame, number: int) -> None:
+        load_id = f"{_checkpoint_id(spark, checkpoint)}-{number:08d}"
+        day = _load_date(spark, out, load_id)
+        rows = batch.withColumns({"load_date": day, LOAD: F.lit(load_id)})
+        write_clean(rows, out, [STATUS, "load_date", LOAD, *spec.partition_cols])
+        done.append(load_id)
+
     query = (
-        with_partition_columns(tagged, spec)
-        .writeStream.format("parquet")
-        .option("path", out)
+        tagged.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("_status", "load_date", *spec.partition_cols)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return query
+    return done
+
+
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when it made the checkpoint; a reset checkpoint,
+    whose batches start at 0 again, has another."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def _load_date(spark: SparkSession, out: str, load_id: str):
+    """Today, or the day of this load's first try."""
+    try:
+        tried = spark.read.schema(f"load_date date, {LOAD} string").parquet(out)
+        first = tried.filter(F.col(LOAD) == load_id).select("load_date").first()
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        first = None
+    return F.lit(first["load_date"]) if first else F.current_date()
+
+
+def clean_schema(spark: SparkSession, spec: DatasetSpec) -> StructType:
+    """The columns of a table that ``load_new`` writes. Partition columns are declared
+    too: from folder names alone, ``001`` would be read as a number."""
+    empty = spark.createDataFrame([], spec.schema)
+    derived = with_partition_columns(empty, spec).schema
+    added = StructType().add(RAW, "string").add(BROKEN, ArrayType(StringType())).add(STATUS, "string")
+    return StructType([*derived, *added.add("load_date", "date").add(LOAD, "string")])
+
+
+def read_clean(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
+    return spark.read.schema(clean_schema(spark, spec)).parquet(path)
 
 
 def with_partition_columns(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -119,6 +165,7 @@ def new_files(spark: SparkSession, path: str, manifest: DataFrame) -> list[str]:
 
     Opening only these is cheaper than J2 on rows, which scans every old file.
     """
-    listed = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file_path"))
+    listed = spark.read.format("binaryFile").load(path)
+    listed = listed.select("path", F.col("_metadata.file_path").alias("file_path"))
     fresh = listed.join(manifest.select("file_path").distinct(), "file_path", "left_anti")
-    return [r.file_path for r in fresh.toLocalIterator()]
+    return [r.path for r in fresh.toLocalIterator()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
@@ -48,11 +49,13 @@ def log_run(spark: SparkSession, run: Mapping, path: str) -> None:
 def progress_rows(progress: Iterable) -> list[dict]:
     """One row per micro-batch from streaming progress reports.
 
-    The rates are null where Spark could not measure them, as in a first batch.
+    The rates are null where Spark could not measure them, as in a first batch. A
+    batch without rows has a measured rate of 0.
     """
 
-    def rate(value):
-        return float(value) if value else None
+    def rate(value, rows):
+        known = value is not None and math.isfinite(value)
+        return float(value) if known and (value > 0 or rows == 0) else None
 
     rows = []
     for p in progress:
@@ -63,8 +66,8 @@ def progress_rows(progress: Iterable) -> list[dict]:
                 "batch_id": int(p.batchId),
                 "ts": datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")),
                 "n_in": int(p.numInputRows),
-                "in_rate": rate(p.inputRowsPerSecond),
-                "out_rate": rate(p.processedRowsPerSecond),
+                "in_rate": rate(p.inputRowsPerSecond, p.numInputRows),
+                "out_rate": rate(p.processedRowsPerSecond, p.numInputRows),
                 "trigger_ms": spent.get("triggerExecution"),
                 "add_batch_ms": spent.get("addBatch"),
                 "n_late": sum(int(s.numRowsDroppedByWatermark) for s in p.stateOperators),

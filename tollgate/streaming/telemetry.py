@@ -43,31 +43,40 @@ def performance(spark: SparkSession, progress: Iterable) -> DataFrame:
 
 
 class LoadLog(StreamingQueryListener):
-    """Appends every ``flush_every`` micro-batches of all queries to a table.
+    """Appends every ``flush_every`` micro-batches to a table.
 
-    Register it with ``spark.streams.addListener``. What is not yet flushed is
-    written when a query ends.
+    Register it with ``spark.streams.addListener``. With a ``name`` it logs the query
+    of that name only and takes itself off when that query ends; without one it logs
+    all queries of the session. What is not yet flushed is written when a query ends.
     """
 
-    def __init__(self, spark: SparkSession, path: str, flush_every: int = 1):
+    def __init__(self, spark: SparkSession, path: str, flush_every: int = 1, name: str | None = None):
         self._spark = spark
         self._path = path
         self._flush_every = flush_every
+        self._name = name
+        self._ids: set[str] = set()
         self._held: list = []
 
     def onQueryStarted(self, event) -> None:
-        pass
+        if self._name is not None and event.name == self._name:
+            self._ids.add(str(event.id))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
+        if self._name is not None and event.progress.name != self._name:
+            return
         self._held.append(event.progress)
         if len(self._held) >= self._flush_every:
             self._flush()
 
     def onQueryTerminated(self, event) -> None:
-        self._flush()
+        if self._name is None or str(event.id) in self._ids:
+            self._flush()
+            if self._name is not None:
+                self._spark.streams.removeListener(self)
 
     def _flush(self) -> None:
         held, self._held = self._held, []
