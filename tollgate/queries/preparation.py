@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean, clean_report, dedup, null_policy, tag
+from ..plans.prepare import export_latest, prepare
 from ..session import scratch
-from ..sources.files import anti_manifest, load_new, read_raw, scan_text, write_clean
+from ..sources.files import (
+    anti_manifest,
+    load_new,
+    read_clean,
+    read_raw,
+    scan_text,
+    write_clean,
+)
 from ..spec import DatasetSpec
 from .data import CUSTOMERS, EVENTS, ORDERS, seconds, table
 
@@ -221,6 +231,77 @@ ORACLES["load_new_files"] = _EVENTS_SQL.format(
 )
 
 
+def load_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second drop bears a time stamp of a month before the first one's."""
+    events = table(spark, sf_dir, "events")
+    raw, late = scratch(spark, "events-raw"), scratch(spark, "events-late")
+    checkpoint, out = scratch(spark, "events-loads"), scratch(spark, "events-clean")
+    _drop(events, _DROPS[0], raw)
+    load_new(spark, raw, EVENTS, checkpoint, out)
+    for kinds in _DROPS[1:]:
+        _drop(events, kinds, late)
+    files = spark.read.text(late).select("_metadata.file_path", "_metadata.file_name")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for r in files.distinct().collect():
+        old = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r.file_path))
+        new = jvm.org.apache.hadoop.fs.Path(f"{raw}/late-{r.file_name}")
+        system = old.getFileSystem(conf)
+        system.rename(old, new)
+        month = 30 * 86_400_000
+        system.setTimes(new, system.getFileStatus(new).getModificationTime() - month, -1)
+    load_new(spark, raw, EVENTS, checkpoint, out)
+    return read_clean(spark, EVENTS, out).filter("_status = 'kept'").select(*_event_columns())
+
+
+QUERIES["load_late_files"] = load_late_files
+ORACLES["load_late_files"] = _EVENTS_SQL.format(more="")
+
+
+def load_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two raw folders with a checkpoint each fill one table; a checkpoint that was
+    lost loads its folder once more."""
+    events = table(spark, sf_dir, "events")
+    out = scratch(spark, "events-clean")
+    for kinds in _DROPS:
+        raw = scratch(spark, "events-raw")
+        _drop(events, kinds, raw)
+        load_new(spark, raw, EVENTS, scratch(spark, "events-loads"), out)
+    load_new(spark, raw, EVENTS, scratch(spark, "events-loads"), out)
+    loaded = read_clean(spark, EVENTS, out).filter("_status = 'kept'")
+    return loaded.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count_distinct("load_id").alias("loads")
+    )
+
+
+QUERIES["load_two_sources"] = load_two_sources
+ORACLES["load_two_sources"] = """
+SELECT event_type, count(*) * CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS n,
+       CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS loads
+FROM events GROUP BY event_type"""
+
+_MOVED = """CASE WHEN o_orderpriority = '1-URGENT'
+            THEN CASE o_orderstatus WHEN 'F' THEN 'O' WHEN 'O' THEN 'P' END ELSE o_orderstatus END"""
+
+
+def export_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded twice. The second time urgent orders have another status, or
+    none, and so another partition."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", seconds("o_orderdate"))
+    raw, checkpoint = scratch(spark, "orders-raw"), scratch(spark, "orders-loads")
+    clean_path, out = scratch(spark, "orders-clean"), scratch(spark, "orders-export")
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").withColumn("o_orderstatus", F.expr(_MOVED))
+    for rows in (orders, urgent):
+        _as_text(rows, ORDERS).select("line").write.mode("append").text(raw)
+        prepare(spark, ORDERS, raw, checkpoint, clean_path)
+        export_latest(spark, ORDERS, clean_path, out, date(2000, 1, 1))
+    return spark.read.parquet(out).select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+QUERIES["export_latest"] = export_latest_query
+ORACLES["export_latest"] = f"""
+SELECT o_orderkey, o_totalprice, {_MOVED} AS o_orderstatus FROM orders"""
+
+
 def load_by_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first drop's files are in the manifest; rows of later files come out."""
     events = table(spark, sf_dir, "events")

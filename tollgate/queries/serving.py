@@ -105,6 +105,37 @@ SELECT CASE WHEN cut THEN 'bad' ELSE 'scores' END AS topic,
 FROM m_scored"""
 
 
+_INCOMPLETE = "l_tax = 0.03 AND l_linestatus = 'F'"
+_NOT_A_NUMBER = "l_tax = 0.04 AND l_linestatus = 'F'"
+
+
+def stream_incomplete_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: messages that lack the quantity, or have NaN for it, are told apart with the
+    reason, and the others are scored."""
+    items = returned_items(spark, sf_dir)
+    model = fit(items, LINEITEM, BAYES)
+    quantity = F.when(F.expr(_INCOMPLETE), None).when(F.expr(_NOT_A_NUMBER), float("nan"))
+    sent = items.select(*LINEITEM.columns).withColumn("l_quantity", quantity.otherwise(F.col("l_quantity")))
+    key = F.col("l_orderkey").cast("string")
+    stream = _messages(spark, sent, key, _row_json(sent), scratch(spark, "messages"))
+    _, out = _run(route_messages(stream, LINEITEM, model, "scores", "bad"), spark)
+    good = F.col("topic") == "scores"
+    p = F.when(good, F.from_json("value", "p double")["p"])
+    why = F.col("headers")[0]["value"].cast("string")
+    return out.select("topic", "key", F.round(p, 6).alias("p"), why.alias("why"))
+
+
+QUERIES["stream_incomplete_messages"] = stream_incomplete_messages
+_LACKING = f"(({_INCOMPLETE}) OR ({_NOT_A_NUMBER}))"
+ORACLES["stream_incomplete_messages"] = f"""
+WITH {bayes_sql(LINEITEM_FEATURES.replace("FROM lineitem", f", {_LACKING} AS lacking FROM lineitem"), 5)}
+SELECT CASE WHEN lacking THEN 'bad' ELSE 'scores' END AS topic,
+       CASE WHEN NOT lacking THEN l_orderkey || '#' || l_linenumber END AS key,
+       CASE WHEN NOT lacking THEN round(p, 6) END AS p,
+       CASE WHEN lacking THEN 'number:l_quantity' END AS why
+FROM m_scored"""
+
+
 def decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 on stored messages: the events' own JSON, error events' cut short."""
     events = table(spark, sf_dir, "events")
