@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import MARKS, Hasher, hashed, rows_of
+from .text import MARKS, Hasher, hashed, rows_of, slices
 
 K1, B = 1.2, 0.75
 #: An item is retrieved at this share of its score against itself.
@@ -168,9 +168,9 @@ class Index:
             return
         ends = np.append(heads[1:], len(keys))
         least = THRESHOLD - 1e-6  # sums of floats
-        for a in range(0, len(heads), 4096):  # bounds memory
-            some = heads[a : a + 4096]
-            rows = slice(some[0], ends[min(a + 4096, len(heads)) - 1])
+        for a in range(0, len(heads), 1024):  # bounds memory
+            some = heads[a : a + 1024]
+            rows = slice(some[0], ends[min(a + 1024, len(heads)) - 1])
             bound = np.add.reduceat(self.maxima[term[rows]], some - some[0], axis=0)
             near, blocks = np.nonzero(bound >= least)
             for k, block in zip((near + a).tolist(), blocks.tolist(), strict=True):
@@ -246,7 +246,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     for indexes in _indexes(items):
 
         def search(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 got = _of_batch(rows_of(batch.column("text")), indexes)
                 at = pa.array([i for i, rows in enumerate(got) for _ in rows], pa.int64())
                 flat = [r for rows in got for r in rows]
@@ -263,7 +263,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     for indexes in _indexes(items):
 
         def keep(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 got = _of_batch(rows_of(batch.column("text")), indexes)
                 yield batch.filter(pa.array([not rows for rows in got], pa.bool_()))
 

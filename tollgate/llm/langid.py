@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .quality import remainder
-from .text import rows_of
+from .text import rows_of, slices
 
 #: Hashed n-grams.
 BUCKETS = 1 << 13
@@ -141,7 +141,7 @@ def train(docs: DataFrame) -> Model:
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             langs, texts = batch.column("lang").to_pylist(), rows_of(batch.column("text"))
             for lang, text in zip(langs, texts, strict=True):
                 if lang not in got:
@@ -181,7 +181,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     lettered = docs.withColumn("__letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             letter = batch.column("__letter").to_pylist()
             rows = rows_of(batch.column("text"))
             names, scores, flags = [], [], []

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tollgate.session import stored
 
-from .text import SPACES, Hasher, hashed, mixed, rows_of, signed
+from .text import SPACES, Hasher, hashed, mixed, rows_of, signed, slices
 
 #: Bands and samples of each: a pair of similarity 0.8 shares no bucket with
 #: probability (1 - 0.8 ** 5) ** 48 = 5e-9.
@@ -105,7 +105,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n", "h1", "h2", "keys", "sketch", "bits"]
         longs = pa.list_(pa.int64())
-        for batch in batches:
+        for batch in slices(batches):
             n, h1, h2, keys, sketches, bits = [], [], [], [], [], []
             for own in _sets(rows_of(batch.column("text")), size):
                 n.append(len(own))
@@ -136,7 +136,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """id and set of the rows of ``docs`` with an id of ``ids``, stored."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = [signed(s) for s in _sets(rows_of(batch.column("text")), size)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(got, pa.list_(pa.int64()))], ["id", "set"]

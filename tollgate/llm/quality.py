@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tollgate.session import stored
 
-from .text import SPACES, Hasher, hashed, rows_of
+from .text import SPACES, Hasher, hashed, rows_of, slices
 
 #: Labelled rows of each class used at most, on average: chosen by a hash of doc_id.
 MOST_ROWS = 100_000
@@ -120,7 +120,7 @@ def measured(docs: DataFrame) -> DataFrame:
     shuffled."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = pa.array(list(statistics(rows_of(batch.column("text")))), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), got], ["doc_id", "stats"])
 
@@ -134,7 +134,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, 1 + D + D * D))
-    for batch in batches:
+    for batch in slices(batches):
         x = _matrix(batch.column("stats"))
         y, w = np.array(batch.column("label")), np.array(batch.column("weight"))
         for c in (0, 1):
@@ -174,7 +174,7 @@ def rated(stats: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of each row of ``stats``."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = pa.array(model.scores(_matrix(batch.column("stats"))))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), got], ["doc_id", "score"])
 
@@ -192,7 +192,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = model.scores(statistics(rows_of(batch.column("text"))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], names)
 
@@ -203,7 +203,7 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = model.scores(statistics(rows_of(batch.column("text"))))
             yield batch.filter(pa.array(got >= least))
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tollgate.session import stored
 
-from .text import SPACES, Hasher, hashed, mixed, rows_of, signed
+from .text import SPACES, Hasher, RunningSums, hashed, mixed, rows_of, signed, slices
 
 WINDOW, GRAM = 20, 6
 #: 6-grams in a window, and the words of a context on either side of where the gram starts.
@@ -42,27 +42,6 @@ PROBES = 3
 
 _U = np.uint64
 _HASHER = Hasher(5)
-_TIMES = 0x9E3779B97F4A7C15
-
-
-class _Sums:
-    """Hashes of word ranges, as differences of running sums."""
-
-    powers = inverses = np.ones(1, np.uint64)
-    inverse = pow(_TIMES, -1, 2**64)
-
-    def __init__(self, words: np.ndarray):
-        n = len(words) + 1
-        if len(_Sums.powers) < n:
-            _Sums.powers, _Sums.inverses = (
-                np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]))
-                for x in (_TIMES, _Sums.inverse)
-            )
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(words * _Sums.powers[: n - 1], out=self.sums[1:])
-
-    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends] - self.sums[starts]) * _Sums.inverses[starts])
 
 
 def _least(values: np.ndarray) -> np.ndarray:
@@ -84,7 +63,7 @@ class Anchors:
         n = len(words)
         self.windows = np.zeros(0, np.int64)  # first words
         if n >= WINDOW:
-            sums = self.sums = _Sums(words)
+            sums = self.sums = RunningSums(words)
             first = np.arange(n - WINDOW + 1)
             ends = np.repeat(offsets[1:], np.diff(offsets))
             whole = first + WINDOW <= ends[: len(first)]
@@ -128,7 +107,7 @@ def _filter(values: DataFrame, n: int) -> np.ndarray:
     size = min(MOST_FILTER_BITS, 1 << max(12, int(12 * n).bit_length()))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at = np.unique(_bits(batch.column("value").to_numpy().view(np.uint64), size))
             word, bit = at >> _U(6), _U(1) << (at & _U(63))
             heads = np.flatnonzero(np.diff(word, prepend=_U(size)))
@@ -155,7 +134,7 @@ def units(docs: DataFrame) -> DataFrame:
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for _, words, offsets in _documents(batch):
                 own = Anchors(words, offsets)
                 if len(own.places):
@@ -175,7 +154,7 @@ def units(docs: DataFrame) -> DataFrame:
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again, parted = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             for ids, words, offsets in _documents(batch):
                 own = Anchors(words, offsets)
                 if not len(own.places):
@@ -266,7 +245,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
-        for batch in batches:
+        for batch in slices(batches):
             n, gone, kept, parsed = [], [], [], []
             ranges = batch.column("ranges")
             ends, flat = ranges.offsets.to_numpy(), [ranges.values.field(i).to_numpy() for i in range(3)]

@@ -14,8 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes worked on at once.
-PIECE = 1 << 20
+#: Bytes, and rows, worked on at once.
+PIECE = 1 << 18
+ROWS = 1000
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -45,24 +46,29 @@ class Hasher:
     def __init__(self, seed: int = 0):
         rng = np.random.default_rng(1_000_003 + seed)
         self.values = rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-        self.base = int(rng.integers(1, 2**62)) * 2 + 1
-        self.inverse = pow(self.base, -1, 2**64)
-        self.powers = self.inverses = np.ones(1, dtype=np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            self.powers, self.inverses = (
-                np.multiply.accumulate(
-                    np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)])
-                )
-                for x in (self.base, self.inverse)
-            )
 
     def __call__(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(buf) + 1)
-        sums = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(self.values[buf] * self.powers[: len(buf)], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * self.inverses[starts])
+        return RunningSums(self.values[buf]).of(starts, ends)
+
+
+class RunningSums:
+    """Hashes of ranges of a sequence of values, as differences of its running sums."""
+
+    base = 0x9E3779B97F4A7C15
+    powers = inverses = np.ones(1, np.uint64)  # shared by all
+
+    def __init__(self, values: np.ndarray):
+        n = len(values) + 1
+        if len(RunningSums.powers) < n:
+            RunningSums.powers, RunningSums.inverses = (
+                np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(n, x, _U)]))
+                for x in (self.base, pow(self.base, -1, 2**64))
+            )
+        self.sums = np.zeros(n, np.uint64)
+        np.cumsum(values * RunningSums.powers[: n - 1], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[ends] - self.sums[starts]) * RunningSums.inverses[starts])
 
 
 def edges(buf: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,6 +79,15 @@ def edges(buf: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at[::2], at[1::2]
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, a few at a time: what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def rows_of(column: pa.Array) -> list[bytes]:
     """The rows of a string column as bytes; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

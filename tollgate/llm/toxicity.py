@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from tollgate.session import stored
 
 from .quality import remainder
+from .text import slices
 
 #: Labelled rows of each class that are learned from, on average: chosen by a hash of
 #: doc_id, half for the lexicon and half for the weights.
@@ -250,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
+        for batch in slices(batches):
             for text, label in zip(_texts(batch.column("text")), batch.column("label").to_pylist(), strict=True):
                 held[label].update(_terms(text))
                 if len(held[0]) + len(held[1]) > 500_000:
@@ -281,7 +282,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     lexicon = Lexicon({r["term"]: min(float(r["odds"]), 6.0) for r in picked})
 
     def innocent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             some = [w for w in batch.column("term").to_pylist() if lexicon.near(w)]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["term"])
 
@@ -291,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(lexicon)
-        for batch in batches:
+        for batch in slices(batches):
             got = [scanner.features(t) for t in _texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(got, pa.list_(pa.float64()))], ["label", "x"])
 
@@ -316,7 +317,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(model.lexicon)
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array([scanner.features(t) for t in _texts(batch.column("text"))]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(x))], names)
 
