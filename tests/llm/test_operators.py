@@ -12,7 +12,7 @@ from tollgate.llm import ORACLES, QUERIES, ann, decontaminate, langid, mix, near
 
 SF_DIR = "/root/testdata/sf0.001"
 PROSE = "the cat sat on a mat and looked at the dog who was not amused by any of this " * 3
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, size string, kept string, shard int, label int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, size string, kept string, shard int, label int, hash string"
 TEXTS = [
     (1, PROSE, "en", "a"), (2, PROSE, "en", "a"), (2, PROSE, "en", "a"), (3, None, None, None), (4, "", "en", None),
     (5, "  \n\t", None, "b"), (6, "one", "en", "b"), (7, "12 34 !!", "en", "a"), (8, "lang " * 40_000, "de", "a"),
@@ -23,7 +23,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(i, t, lang, s, len(t) if t else None, 0.5, "z", "k", 3, 1) for i, t, lang, s in TEXTS]
+    rows = [(i, t, lang, s, len(t) if t else None, 0.5, "z", "k", 3, 1, "h") for i, t, lang, s in TEXTS]
     return spark.createDataFrame(rows, SCHEMA)
 
 

@@ -237,7 +237,11 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts, and items without words, leak nothing; a repeated row leaks again; a document
     without leaks has no row. Words are runs of letters and digits, lower-cased.
     """
-    fields = [docs.schema["doc_id"], T.StructField("item_id", items.schema["item_id"].dataType),
+    whole = isinstance(items.schema["item_id"].dataType, T.IntegralType)
+    kind = T.LongType() if whole else T.StringType()
+    items = items.withColumn("item_id", F.col("item_id").cast(kind))
+    arrow = pa.int64() if whole else pa.string()
+    fields = [docs.schema["doc_id"], T.StructField("item_id", kind),
               T.StructField("start", T.LongType()),
               *[T.StructField(n, T.DoubleType()) for n in ("score", "overlap", "question", "answer")]]
     schema = T.StructType(fields)
@@ -250,8 +254,8 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                 got = _of_batch(rows_of(batch.column("text")), indexes)
                 at = pa.array([i for i, rows in enumerate(got) for _ in rows], pa.int64())
                 flat = [r for rows in got for r in rows]
-                columns = [pa.array([r[c] for r in flat], k) for c, k in enumerate(
-                    (pa.infer_type([x.items[0] for x in indexes]), pa.int64(), *[pa.float64()] * 4))]
+                kinds = (arrow, pa.int64(), *[pa.float64()] * 4)
+                columns = [pa.array([r[c] for r in flat], k) for c, k in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), *columns], names)
 
         out = out.unionByName(docs.select("doc_id", "text").mapInArrow(search, schema))

@@ -66,8 +66,8 @@ def subtree(quotas: np.ndarray, totals: np.ndarray, seed: list[int]) -> np.ndarr
     return tree(quotas, totals, seed)
 
 
-def _bits(level: int) -> Column:
-    return F.shiftrightunsigned("hash", 64 - BITS * level).bitwiseAND(F.lit((1 << BITS) - 1))
+def _bits(level: int, column: str = "hash") -> Column:
+    return F.shiftrightunsigned(column, 64 - BITS * level).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
 def _first_fit(pdf: pd.DataFrame, room: int, seed: int) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -283,14 +283,13 @@ def mix(
     plan = draws(sized, targets, shards, seed).join(
         targets.select("key", "source_size", "target"), "key"
     )
-    rows = rows.drop(*made).withColumnRenamed("__hash", "hash").withColumn("__b1", _bits(1))
-    joined = rows.join(
-        plan.withColumnsRenamed({c: f"__{c}" for c in plan.columns}).drop("hash"),
-        ["__key", "__b1"],
-    )
+    rows = rows.drop(*made).withColumn("__b1", _bits(1, "__hash"))
+    plan = plan.withColumnsRenamed({c: f"__{c}" for c in plan.columns})
+    joined = rows.join(plan, ["__key", "__b1"])
+    two, three = _bits(2, "__hash"), _bits(3, "__hash")
     in_cut = F.coalesce(
-        F.array_contains("__taken2", _bits(2))
-        | ((F.col("__cut2") == _bits(2)) & F.array_contains("__taken3", _bits(3))),
+        F.array_contains("__taken2", two)
+        | ((F.col("__cut2") == two) & F.array_contains("__taken3", three)),
         F.lit(False),
     )
     further = F.col("__further").isNotNull() & (F.col("__fits") | in_cut) & (F.col("__size") > 0)
