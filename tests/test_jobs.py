@@ -5,9 +5,8 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tollgate.functions import in_range
-from tollgate.operators.features import attach_labels
 from tollgate.operators.registry import champion, read_registry
-from tollgate.operators.train import loaded_between
+from tollgate.operators.train import held_out
 from tollgate.plans import export_latest, prepare, retrain, validate
 from tollgate.sources import load_model
 from tollgate.sources.logs import RUNS, read_log
@@ -65,20 +64,20 @@ def test_prepare_retrain_validate(spark, path):
     export_latest(spark, SPEC, path("clean"), path("latest"), since)
     assert spark.read.parquet(path("latest")).count() == counts["rows_kept"] + 1
 
-    def train(grid):
+    def train(grid, **options):
         return retrain(
             spark, SPEC, since, clean_path=path("clean"), runs_path=path("runs"),
-            model_root=path("models"), grid=grid, labels=labels,
+            model_root=path("models"), grid=grid, labels=labels, **options,
         )
 
     # a tree without a split gives every row one score
     weak = train({"family": "forest", "maxDepth": [0], "numTrees": [1]})
-    good = train({"family": "logistic", "maxIter": [10], "regParam": [0.0, 0.1]})
+    good = train({"family": "logistic", "maxIter": [10], "regParam": [0.0, 0.1]}, weight="w")
     assert read_log(spark, path("runs"), RUNS).count() == 2
     assert good["metrics"]["auc"] > weak["metrics"]["auc"]
 
-    held = attach_labels(loaded_between(spark.read.parquet(path("clean")), since), labels, "id")
-    held = held.withColumn("fraud", F.expr(SPEC.label_expr)).dropDuplicates(["id"])
+    held = held_out(spark, SPEC, path("clean"), since, labels=labels)
+    assert 0 < held.count() == held.select("id").distinct().count() < counts["rows_kept"] / 3
 
     def check(run):
         model = load_model(run["model_uri"])
