@@ -12,9 +12,6 @@ key: two strings of one digest lie side by side and are both compared.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -22,6 +19,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.session import scratch
+
 #: A rule file may not be larger: it goes to every executor's disk.
 MOST_BYTES = 1 << 30
 
@@ -41,8 +40,8 @@ def digest(keys: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(k) for k in keys), np.uint64, len(keys))
 
 
-def build(rules: list[tuple[str, str, str]], path: str) -> None:
-    """Write the rules to ``path``. A rule given twice must not contradict itself."""
+def build(rules: list[tuple[str, str, str]]) -> bytes:
+    """The rules' file. A rule given twice must not contradict itself."""
     verdicts: dict[bytes, bytes] = {}
     for host, start, verdict in rules:
         if verdict not in ("allow", "block"):
@@ -58,11 +57,9 @@ def build(rules: list[tuple[str, str, str]], path: str) -> None:
     keys = [keys[i] for i in order]
     ends = np.cumsum([0, *map(len, keys)], dtype=np.int64)
     lengths = np.array(sorted({len(start) for _, start, _ in rules}), dtype=np.int64)
-    with open(path, "wb") as out:
-        out.write(np.array([(len(keys), ends[-1], len(lengths))], dtype=HEAD).tobytes())
-        for part in (digests[order].astype("<u8"), ends, lengths):
-            out.write(part.tobytes())
-        out.write(b"".join(verdicts[k] for k in keys) + b"".join(keys))
+    head = np.array([(len(keys), ends[-1], len(lengths))], dtype=HEAD)
+    parts = [x.tobytes() for x in (head, digests[order].astype("<u8"), ends, lengths)]
+    return b"".join([*parts, *[verdicts[k] for k in keys], *keys])
 
 
 class Rules:
@@ -113,10 +110,10 @@ def judge(urls: DataFrame, rules: list[tuple[str, str, str]], default: str = "al
     rules of equal length that fit the same url are told apart by the longer host.
     """
     spark = urls.sparkSession
-    folder = tempfile.mkdtemp(prefix="tollgate-rules-")
-    name = os.path.basename(folder) + ".bin"
-    build(rules, os.path.join(folder, name))
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    path = scratch(spark, "url-rules")
+    name = path.rpartition("/")[2]
+    _write(spark, path, build(rules))
+    spark.sparkContext.addFile(path)
     out = urls.drop("host", "path", "rule", "verdict")
     rest = F.expr("CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END")
     rest = F.coalesce(rest, F.lit(""))
@@ -158,6 +155,15 @@ def judge(urls: DataFrame, rules: list[tuple[str, str, str]], default: str = "al
     )
 
 
+def _write(spark: SparkSession, path: str, content: bytes) -> None:
+    """A file in the shared folder, in whatever file system that is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    for at in range(0, len(content), 1 << 20):
+        out.write(bytearray(content[at : at + (1 << 20)]))
+    out.close()
+
+
 _open: dict[str, Rules] = {}
 
 
