@@ -1,6 +1,7 @@
 """The operators on odd rows (nulls, empty and long texts, ties, repeats, no rows, clashing
 columns), their queries against SQL or plain versions, and the pipeline."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -156,6 +157,26 @@ def test_toxicity(docs, labels, none):
     assert all(r["score"] < 0.01 for r in toxicity.score(docs, blank).collect())
 
 
+def test_terms_misspelled_within_their_first_letters_are_found(spark):
+    rng, terms = random.Random(7), ["disgusting", "pathetic", "stupid", "worthless", "idiot"]
+    plain = [f"{a}{b}" for a in ("ban", "cor", "mil", "tev") for b in ("ado", "lory", "nex", "quin", "vale")]
+    text = lambda *more: " ".join(rng.sample([*rng.choices(plain, k=14 - len(more)), *more], 14))
+
+    def misspelled(term):
+        k = rng.randrange(4)
+        return term[:k] + rng.choice("jkqwxyz") + term[k + 1 :]
+
+    learned = [(i, text(rng.choice(terms), misspelled(rng.choice(terms))) if i % 4 == 0 else text(), int(i % 4 == 0)) for i in range(800)]
+    learned += [(1000 + i, text(misspelled(rng.choice(terms))), 1) for i in range(60)]
+    model = toxicity.train(
+        spark.createDataFrame([r[:2] for r in learned], "doc_id long, text string"),
+        spark.createDataFrame([(r[0], r[2]) for r in learned], "doc_id long, toxic int"),
+    )
+    held = [(i, text(misspelled(terms[i % 5])), 1) for i in range(40)] + [(100 + i, text(), 0) for i in range(40)]
+    got = rows_by_id(toxicity.score(spark.createDataFrame(held, "doc_id long, text string, toxic int"), model))
+    assert min(r["score"] for r in got.values() if r["toxic"]) > 2 * max(r["score"] for r in got.values() if not r["toxic"])
+
+
 def test_quality(docs, labels, none):
     stats = quality.measured(docs)
     model = quality.train(stats, labels)

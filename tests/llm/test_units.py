@@ -97,6 +97,14 @@ def test_trie_finds_what_edit_distance_finds():
         assert got == ((min(near)[0], min(near)[2]) if near else None), word
 
 
+def test_words_that_a_stem_covers_are_found_misspelled():
+    entries = ["stupid", "stup*", "stupid*", "disgusting", "disg*"]
+    lexicon = toxicity.Lexicon(dict.fromkeys(entries, 3.0))
+    assert lexicon.match("sxupid") == ("misspelled", "stupid", 1.5)
+    assert lexicon.match("tsupid") is None and lexicon.match("dixgustng")[:2] == ("misspelled", "disgusting")
+    assert lexicon.match("stupxd")[0] == "stem"
+
+
 def test_quotation_is_kept_apart():
     scanner = toxicity.Scanner(toxicity.Lexicon({"moron": 3.0}, frozenset({"boron"})))
     of = lambda text: dict(zip(toxicity.FEATURES, scanner.features(text), strict=True))

@@ -62,6 +62,16 @@ def edits(length: int) -> int:
     return 0 if length < 5 else 1 if length < 9 else 2
 
 
+def deleted(word: str, most: int) -> set[str]:
+    """The word without up to ``most`` (at most two) of its letters."""
+    out = {word}
+    if most:
+        out.update([word[:i] + word[i + 1 :] for i in range(len(word))])
+    if most > 1:
+        out.update([word[:i] + word[i + 1 : j] + word[j + 1 :] for i in range(len(word)) for j in range(i + 1, len(word))])
+    return out
+
+
 class Automaton:
     """Accepts what is within ``most`` edits of a word; a state is a row of distances."""
 
@@ -90,25 +100,25 @@ class Lexicon:
     def __post_init__(self) -> None:
         self.trie = {}
         self.stems = {e[:-1]: w for e, w in self.weights.items() if e.endswith("*")}
-        # of an entry cut into one part more than edits, one part is spelled right
-        parts: set[str] = set()
-        lengths = [0]
+        # a word within n edits of an entry becomes the same as it by at most n deletions in each
+        self.cut: set[str] = set()
+        self.longest = 0
         for entry in self.weights:
-            if not entry.endswith("*") and not any(entry[:n] in self.stems for n in STEMS):
+            if not entry.endswith("*"):  # also where a stem covers it: edits may lie in the stem
                 node = self.trie
                 for letter in entry:
                     node = node.setdefault(letter, {})
                 node[""] = entry
-                cuts = [len(entry) * k // (edits(len(entry)) + 1) for k in range(edits(len(entry)) + 2)]
-                parts.update(entry[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
-                lengths.append(len(entry))
-        self.parts = re.compile("|".join(sorted(map(re.escape, parts))) or r"(?!)")
-        self.longest = max(lengths) + 2
+                self.cut.update(deleted(entry, edits(len(entry))))
+                self.longest = max(self.longest, len(entry) + edits(len(entry)))
+
+    def __reduce__(self) -> tuple:
+        return Lexicon, (self.weights, self.innocent)  # tasks build the trie anew
 
     def near(self, word: str) -> tuple[int, str] | None:
         """Distance and entry of the nearest entry, if near enough: of equally near ones,
         the weightiest."""
-        if not 5 <= len(word) <= self.longest or not self.parts.search(word):
+        if not 5 <= len(word) <= self.longest or self.cut.isdisjoint(deleted(word, edits(len(word)))):
             return None
         automaton = Automaton(word, edits(len(word)))
         best, stack = None, [(self.trie, automaton.start())]
