@@ -177,6 +177,16 @@ def test_terms_misspelled_within_their_first_letters_are_found(spark):
     assert min(r["score"] for r in got.values() if r["toxic"]) > 2 * max(r["score"] for r in got.values() if not r["toxic"])
 
 
+def test_rare_terms_are_entries(spark):
+    terms = [f"{a}{b}" for a in "bcdfghjklm" for b in "aeiou" for _ in "x"]
+    words = [f"{t}{i}zz" for i in range(4) for t in terms]  # 200, each in a few of the toxic texts
+    rows = [(i, f"calm words here {words[i // 2 % 200]} {words[i // 2 * 7 % 200]}" if i % 2 else "calm words here", i % 2) for i in range(4000)]
+    rows += [(5000 + i, "calm words here grimzz", 1) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    weights = toxicity.train(df.drop("toxic"), df.drop("text")).lexicon.weights
+    assert {*words, "grimzz"} <= set(weights)
+
+
 def test_quality(docs, labels, none):
     stats = quality.measured(docs)
     model = quality.train(stats, labels)

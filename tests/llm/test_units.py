@@ -105,6 +105,14 @@ def test_words_that_a_stem_covers_are_found_misspelled():
     assert lexicon.match("stupxd")[0] == "stem"
 
 
+def test_short_terms_are_found_misspelled_and_stems_of_the_same_documents_dropped():
+    lexicon = toxicity.Lexicon({"scum": 4.0})
+    assert lexicon.match("scxm") == ("misspelled", "scum", 2.0) and lexicon.match("scxx") is None
+    assert lexicon.match("scuum") == ("misspelled", "scum", 2.0) and lexicon.match("scm") is None
+    picked = {"idiot": (0, 5, 4.0), "idio*": (1, 6, 3.0), "idiot*": (1, 6, 3.0), "idiots*": (0, 4, 3.5)}
+    assert toxicity._entries(picked) == {"idio*": 3.0, "idiot": 4.0, "idiots*": 3.5}
+
+
 def test_quotation_is_kept_apart():
     scanner = toxicity.Scanner(toxicity.Lexicon({"moron": 3.0}, frozenset({"boron"})))
     of = lambda text: dict(zip(toxicity.FEATURES, scanner.features(text), strict=True))

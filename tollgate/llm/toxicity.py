@@ -33,11 +33,13 @@ from .text import slices
 #: Labelled rows of each class that are learned from, on average: chosen by a hash of
 #: doc_id, half for the lexicon and half for the weights.
 MOST_ROWS = 10_000
-#: Entries of the lexicon at most, and how much more often toxic documents hold one (as a
-#: logarithm).
-MOST_ENTRIES, LEAST_ODDS = 500, 2.0
+#: Toxic documents of the lexicon's half that must hold an entry, and how much more often
+#: toxic documents hold one (as a logarithm).
+LEAST_COUNT, LEAST_ODDS = 3, 2.0
 #: Lengths of stems.
 STEMS = range(4, 9)
+#: Letters of the longest words whose deletions are compared before the trie is walked.
+LONG = 16
 #: Words before and after a hit that are its context.
 NEAR = 4
 #: Words whose matches a worker remembers.
@@ -59,7 +61,7 @@ FEATURES = [
 
 
 def edits(length: int) -> int:
-    return 0 if length < 5 else 1 if length < 9 else 2
+    return 0 if length < 4 else 1 if length < 9 else 2
 
 
 def deleted(word: str, most: int) -> set[str]:
@@ -72,21 +74,35 @@ def deleted(word: str, most: int) -> set[str]:
     return out
 
 
+def _put(trie: dict, entry: str) -> None:
+    for letter in entry:
+        trie = trie.setdefault(letter, {})
+    trie[""] = entry
+
+
 class Automaton:
-    """Accepts what is within ``most`` edits of a word; a state is a row of distances."""
+    """Accepts what is within ``most`` edits of a word. A state has, for each number of
+    edits, the lengths of the word's prefixes that are so near, as bits."""
 
     def __init__(self, word: str, most: int):
-        self.word, self.most = word, most
+        self.most, self.end, self.places = most, 1 << len(word), {}
+        for i, letter in enumerate(word):
+            self.places[letter] = self.places.get(letter, 0) | 1 << i
 
     def start(self) -> tuple[int, ...]:
-        return tuple(range(len(self.word) + 1))
+        return tuple((2 << n) - 1 for n in range(self.most + 1))
 
     def step(self, state: tuple[int, ...], letter: str) -> tuple[int, ...] | None:
         """The next state; None if nothing can be accepted any more."""
-        row = [state[0] + 1]
-        for i, own in enumerate(self.word):
-            row.append(min(state[i] + (own != letter), state[i + 1] + 1, row[i] + 1))
-        return tuple(row) if min(row) <= self.most else None
+        same = self.places.get(letter, 0)
+        row = [(state[0] & same) << 1]
+        for n in range(1, self.most + 1):
+            row.append((state[n] & same) << 1 | state[n - 1] | state[n - 1] << 1 | row[n - 1] << 1)
+        return tuple(row) if row[-1] & (2 * self.end - 1) else None
+
+    def distance(self, state: tuple[int, ...]) -> int:
+        """Edits of what is accepted; more than ``most`` if it is not."""
+        return next((n for n, bits in enumerate(state) if bits & self.end), self.most + 1)
 
 
 @dataclass
@@ -99,36 +115,50 @@ class Lexicon:
 
     def __post_init__(self) -> None:
         self.trie = {}
+        #: For each piece of an entry, the trie of the entries that have it.
+        self.tries: dict[str, dict] = {}
         self.stems = {e[:-1]: w for e, w in self.weights.items() if e.endswith("*")}
+        # of an entry cut into one part more than edits, one part is spelled right: the first
+        # in its place, the last at the word's end, or the middle one, moved by at most one
+        self.pieces: dict[int, dict[tuple[int, int], set[str]]] = {}
         # a word within n edits of an entry becomes the same as it by at most n deletions in each
         self.cut: set[str] = set()
-        self.longest = 0
         for entry in self.weights:
             if not entry.endswith("*"):  # also where a stem covers it: edits may lie in the stem
-                node = self.trie
-                for letter in entry:
-                    node = node.setdefault(letter, {})
-                node[""] = entry
-                self.cut.update(deleted(entry, edits(len(entry))))
-                self.longest = max(self.longest, len(entry) + edits(len(entry)))
-
-    def __reduce__(self) -> tuple:
-        return Lexicon, (self.weights, self.innocent)  # tasks build the trie anew
+                _put(self.trie, entry)
+                size, most = len(entry), edits(len(entry))
+                if size <= LONG + 2:
+                    self.cut.update(deleted(entry, most))
+                a, b = size // (most + 1), size * most // (most + 1)
+                for piece in {entry[:a], entry[a:b], entry[b:]} - {""} if most else ():
+                    _put(self.tries.setdefault(piece, {}), entry)
+                for length in range(size - most, size + most + 1) if most else ():
+                    own = self.pieces.setdefault(length, {})
+                    own.setdefault((0, a), set()).add(entry[:a])
+                    own.setdefault((length - size + b, length), set()).add(entry[b:])
+                    for move in range(-1, 2) if most > 1 else ():
+                        own.setdefault((a + move, b + move), set()).add(entry[a:b])
+
+    def _near_tries(self, word: str) -> list[dict]:
+        """Tries that together hold every entry that is near."""
+        hit = {word[a:b] for (a, b), own in self.pieces.get(len(word), {}).items() if word[a:b] in own}
+        if not hit or len(word) <= LONG and self.cut.isdisjoint(deleted(word, edits(len(word)))):
+            return []
+        return [self.tries[piece] for piece in hit]
 
     def near(self, word: str) -> tuple[int, str] | None:
         """Distance and entry of the nearest entry, if near enough: of equally near ones,
         the weightiest."""
-        if not 5 <= len(word) <= self.longest or self.cut.isdisjoint(deleted(word, edits(len(word)))):
-            return None
         automaton = Automaton(word, edits(len(word)))
-        best, stack = None, [(self.trie, automaton.start())]
+        best, stack = None, [(t, automaton.start()) for t in self._near_tries(word)]
         while stack:
             node, state = stack.pop()
             for letter, below in node.items():
                 if letter == "":
                     # a short entry allows no more edits than it would for itself
-                    if state[-1] <= min(automaton.most, edits(len(below))):
-                        found = (state[-1], -self.weights[below], below)
+                    apart = automaton.distance(state)
+                    if apart <= min(automaton.most, edits(len(below))):
+                        found = (apart, -self.weights[below], below)
                         best = found if best is None or found < best else best
                 else:
                     after = automaton.step(state, letter)
@@ -240,6 +270,17 @@ def _terms(text: str) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) >= n}
 
 
+def _entries(picked: dict[str, tuple[int, int, float]]) -> dict[str, float]:
+    """Weights of the ``picked`` terms (clean, toxic, weight), in the order of the terms.
+
+    A stem is left out if a shorter one is in the same documents: that one has its weight,
+    and fits all words that it fits.
+    """
+    stems = {t[:-1]: v for t, v in picked.items() if t.endswith("*")}
+    more = {f"{t}*" for t, v in stems.items() if any(stems.get(t[:n]) == v for n in STEMS if n < len(t))}
+    return {t: picked[t][2] for t in sorted(picked) if t not in more}
+
+
 def _texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
@@ -286,10 +327,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     picked = (
         counts.withColumn("odds", odds)
-        .where((F.col("odds") >= LEAST_ODDS) & (F.col("toxic") >= max(3.0, 0.01 * toxic)))
-        .orderBy(F.desc(F.col("toxic") * F.col("odds")), "term").limit(MOST_ENTRIES).collect()
+        .where((F.col("odds") >= LEAST_ODDS) & (F.col("toxic") >= LEAST_COUNT))
+        .collect()
     )
-    lexicon = Lexicon({r["term"]: min(float(r["odds"]), 6.0) for r in picked})
+    lexicon = Lexicon(_entries({r["term"]: (r["clean"], r["toxic"], min(float(r["odds"]), 6.0)) for r in picked}))
 
     def innocent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
