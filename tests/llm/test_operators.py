@@ -248,6 +248,12 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0), urls.RULES).count() == 0
 
 
+def test_rules_with_letters_of_several_bytes_fit(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/é/x"), (2, "http://a.org/e/x")], "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(pages, [("a.org", "/é/", "block")]).collect()}
+    assert got == {1: ("a.org/é/", "block"), 2: (None, "allow")}
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(600, 16)).astype(np.float32)

@@ -56,7 +56,7 @@ def build(rules: list[tuple[str, str, str]]) -> bytes:
     order = sorted(range(len(keys)), key=lambda i: (digests[i], keys[i]))
     keys = [keys[i] for i in order]
     ends = np.cumsum([0, *map(len, keys)], dtype=np.int64)
-    lengths = np.array(sorted({len(start) for _, start, _ in rules}), dtype=np.int64)
+    lengths = np.array(sorted({len(start.encode()) for _, start, _ in rules}), dtype=np.int64)
     head = np.array([(len(keys), ends[-1], len(lengths))], dtype=HEAD)
     parts = [x.tobytes() for x in (head, digests[order].astype("<u8"), ends, lengths)]
     return b"".join([*parts, *[verdicts[k] for k in keys], *keys])
