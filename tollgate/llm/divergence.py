@@ -200,6 +200,7 @@ def audit(
     kept = by_term.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
     kept = stored(kept.drop("docs"), "divergence-kept")
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_total"))
+    langs = stored(langs, "divergence-langs")  # of known size: the join below need not deal terms out by language
     place = F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / BLOCK))
     block = Window.partitionBy("lang", "block")
     kept = stored(
