@@ -1,23 +1,29 @@
 """Centroid clustering over a VA-file.
 
-Vectors become integers, and beside each block of them lies its approximation: four
-bits a dimension, the number of the cell between a dimension's marks that holds the
-component. For given centroids, what a cell can add to a squared distance at least and
-at most is a table lookup, two dimensions at a time; the sums are an interval for each
-centroid. Where the lowest interval lies below all others the nearest centroid is known
-from the cells alone, and only where intervals overlap is the full vector fetched.
+Vectors become integers, and beside each block of them lies its approximation: a byte a
+dimension, the number of the cell between that dimension's marks that holds the
+component. For given centroids, what a cell can add to a distance at least and at most
+is a table lookup; the sums are an interval for each centroid. Where the lowest interval
+lies below all others the nearest centroid is known from the cells alone, and only where
+intervals overlap is the full vector fetched.
+
+The distances compared are those to the centroids less that to the centroids' mean,
+which is the same for all: |x - c|^2 - |x - m|^2 is linear in x, so its interval is as
+wide as the centroid is far from the mean, and not as the vector is from the centroid.
 
 A round needs its clusters' sums as well. They are carried from round to round, so a
 vector counts only if it moves: a round judges each vector by the former and by the new
 centroids, and fetches it if either is open or they differ. Nothing but sums per cluster
 leaves a task: no vector is shuffled and no assignment stored, and a lost task is
-computed again from its blocks. Integer sums are exact, so results do not depend on
-blocks, marks or partitions.
+computed again from its blocks. Spark reads a block's cells and vectors together; what
+is saved is the work on vectors, not their reading. Integer sums are exact, so results
+do not depend on blocks, marks or partitions.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,12 +36,10 @@ from tollgate.session import stored
 
 #: Vectors in a block.
 BLOCK = 2048
-BITS = 4
+#: Cells of a dimension: their numbers take a byte.
+CELLS = 256
 #: Vectors that the marks are learned from, on average; only speed depends on it.
 SAMPLE = 4096
-#: Components beyond this have squared distances that a long cannot hold.
-LARGEST = 1 << 27
-
 BLOCKS = "ids binary, id_nulls binary, cells binary, vectors binary"
 
 
@@ -45,11 +49,16 @@ def usable(column: str, dims: int) -> Column:
     return F.coalesce((F.size(column) == dims) & ~bad, F.lit(False))
 
 
+def largest(dims: int) -> int:
+    """Components from this on may have distances that a long cannot hold."""
+    return math.isqrt((1 << 60) // dims)
+
+
 def integers(rows: pa.Array, dims: int, scale: int) -> np.ndarray:
     """floor(scale * x) of each component, in double precision, as longs."""
     x = np.floor(rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims) * scale)
-    if len(x) and np.abs(x).max() >= LARGEST:
-        raise ValueError(f"a component times {scale} is {LARGEST} or more: its distances do not fit a long")
+    if len(x) and np.abs(x).max() >= largest(dims):
+        raise ValueError(f"a component times {scale} is {largest(dims)} or more: its distances do not fit a long")
     return x.astype(np.int64)
 
 
@@ -63,35 +72,29 @@ class Cells:
 
     @classmethod
     def learn(cls, low: np.ndarray, high: np.ndarray, sample: np.ndarray) -> Cells:
-        n = 1 << BITS
-        shares = np.arange(1, n) / n
-        marks = np.quantile(sample, shares, axis=0).T if len(sample) else np.repeat(low[:, None], n - 1, axis=1)
+        shares = np.arange(1, CELLS) / CELLS
+        marks = np.quantile(sample, shares, axis=0).T if len(sample) else np.repeat(low[:, None], CELLS - 1, axis=1)
         return cls(low, high, np.clip(np.ceil(marks).astype(np.int64), low[:, None], high[:, None]))
 
     def encode(self, x: np.ndarray) -> np.ndarray:
-        """Two dimensions a byte, the first in the lower bits."""
         cells = np.empty(x.shape, dtype=np.uint8)
         for d in range(x.shape[1]):
             cells[:, d] = np.searchsorted(self.marks[d], x[:, d], side="right")
-        if x.shape[1] % 2:
-            cells = np.pad(cells, ((0, 0), (0, 1)))
-        return cells[:, ::2] | cells[:, 1::2] << BITS
+        return cells
 
     def tables(self, centroids: np.ndarray) -> np.ndarray:
-        """For each byte of an approximation and each of its values, the least and the
-        most that its dimensions add to the distance to each centroid."""
-        dims, n = len(self.low), 1 << BITS
+        """For each dimension and cell, the least and the most that it adds to the distance
+        to each centroid, less that to the centroids' mean."""
         first = np.concatenate([self.low[:, None], self.marks], axis=1)  # dims x cells, both ends held
         last = np.maximum(np.concatenate([self.marks - 1, self.high[:, None]], axis=1), first)
         c = centroids.T[:, :, None]  # dims x k x 1
-        to_first, to_last = first[:, None] - c, c - last[:, None]
-        least = np.maximum(np.maximum(to_first, to_last), 0) ** 2
-        most = np.maximum(np.abs(to_first), np.abs(to_last)) ** 2
-        bounds = np.concatenate([least, most], axis=1).transpose(0, 2, 1)  # dims x cells x 2k
-        if dims % 2:
-            bounds = np.concatenate([bounds, np.zeros((1, *bounds.shape[1:]), bounds.dtype)])
-        pairs = bounds[1::2, :, None] + bounds[::2, None]  # bytes x upper x lower x 2k
-        return pairs.reshape(-1, n * n, bounds.shape[2])
+        m = middle(centroids)[:, None, None]
+        one, two = (c * c - m * m + 2 * x[:, None] * (m - c) for x in (first, last))
+        return np.concatenate([np.minimum(one, two), np.maximum(one, two)], axis=1).transpose(0, 2, 1).copy()
+
+
+def middle(centroids: np.ndarray) -> np.ndarray:
+    return centroids.sum(axis=0) // len(centroids)
 
 
 def full(content: pa.Buffer, dims: int) -> np.ndarray:
@@ -202,7 +205,7 @@ class VaFile:
 
             for batch in batches:
                 for i in range(batch.num_rows):
-                    near = np.frombuffer(batch.column(0)[i].as_buffer(), np.uint8).reshape(-1, -(-dims // 2))
+                    near = np.frombuffer(batch.column(0)[i].as_buffer(), np.uint8).reshape(-1, dims)
                     new = decided(near, new_table)
                     if former is None:
                         old, at = None, np.arange(len(near))
@@ -262,7 +265,7 @@ class VaFile:
             for batch in batches:
                 for i in range(batch.num_rows):
                     ids, nulls, near, vectors = (batch.column(j)[i].as_buffer() for j in range(4))
-                    to = decided(np.frombuffer(near, np.uint8).reshape(-1, -(-dims // 2)), tables)
+                    to = decided(np.frombuffer(near, np.uint8).reshape(-1, dims), tables)
                     x, blank = full(vectors, dims).astype(np.int64), to < 0
                     to[blank] = nearest(x[blank], centroids)[0]
                     apart = ((x - centroids[to]) ** 2).sum(axis=1)
@@ -287,7 +290,7 @@ def cluster(
     floor(scale * x). The first centroids are those of the smallest sha256 of ``salt``
     and the id, a null id last, equal ids by their vectors; fewer than ``k`` vectors give
     fewer. Ties of distance go to the smaller number. Repeated rows count again. A
-    component of 2^17 or more at the usual scale raises ValueError. No vectors give no
+    component of 2^17 or more, at the usual scale and 64 dimensions, raises ValueError. No vectors give no
     rows and no centroids.
     """
     spark = vectors.sparkSession
