@@ -38,6 +38,8 @@ from tollgate.session import scratch, stored
 ARCHIVE_BYTES = 32 << 20
 #: Rows handed on at once.
 BATCH_BYTES = 4 << 20
+#: Compressed bytes unpacked at once.
+READ = 1 << 14
 #: A digest of more than one in so many records is joined by broadcast.
 HEAVY = 1000
 #: The HTTP header that holds a page's own name.
@@ -201,9 +203,46 @@ def write_arc(
 # ---------------------------------------------------------------- reading archives
 
 
-def _opened(content: bytes) -> io.BufferedIOBase:
-    raw = io.BytesIO(content)
-    return io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 16) if content[:2] == b"\x1f\x8b" else raw
+class Members(io.RawIOBase):
+    """The content of gzip members, one after the other. What lies before damage can be
+    read; there the stream ends, and is ``broken``."""
+
+    def __init__(self, content: bytes):
+        self.content, self.at, self.member, self.ready = memoryview(content), 0, None, memoryview(b"")
+        self.broken = False
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into: memoryview) -> int:
+        while not self.ready and not self.broken:
+            if self.member is None:
+                if self.at == len(self.content) or self.content[self.at] == 0:  # zeros may fill up a file
+                    return 0
+                self.member = zlib.decompressobj(31)
+            some = self.content[self.at : self.at + READ]
+            self.at += len(some)
+            try:
+                self.ready = memoryview(self.member.decompress(some))
+            except zlib.error:
+                self.broken = True
+                break
+            if self.member.eof:
+                self.at -= len(self.member.unused_data)
+                self.member = None
+            elif not some:
+                self.broken = True
+        n = min(len(into), len(self.ready))
+        into[:n] = self.ready[:n]
+        self.ready = self.ready[n:]
+        return n
+
+
+def _opened(content: bytes) -> tuple[io.BufferedIOBase, Members | None]:
+    if content[:2] != b"\x1f\x8b":
+        return io.BytesIO(content), None
+    members = Members(content)
+    return io.BufferedReader(members, 1 << 16), members
 
 
 def _taken(source: io.BufferedIOBase, size: int) -> bytes:
@@ -240,43 +279,42 @@ def parse_arc(content: bytes, archive: str, blocks: bool) -> Iterator[tuple]:
     reported with the record found (damage ``skipped``). A block that ends early is kept
     as ``truncated``; a broken gzip member ends the archive (``unreadable``).
     """
-    source, position, names, version, opened, skipped = _opened(content), 0, FIELDS[1].split(), 1, None, False
-    try:
-        while line := source.readline():
-            start = position
-            position += len(line)
-            if not line.strip():
-                continue
-            own = line.startswith(b"filedesc:")
-            if own:  # its form is known only from the block that follows
-                forms = [n.split() for n in (FIELDS[2], FIELDS[1])]
-                fields = next((f for f in (_fields(line, n) for n in forms) if f), None)
-            else:
-                fields = _fields(line, names)
-            if fields is None:
-                skipped = True
-                continue
-            size = int(fields["Archive-length"])
-            block = _taken(source, size)
-            position += len(block)
-            damage = "truncated" if len(block) < size else "skipped" if skipped else None
-            skipped = False
-            uri, kind = fields["URL"], "warcinfo" if own else _typed(fields["URL"], block)
-            date = iso_time(fields["Archive-date"]) or opened
-            if own:
-                opened = date
-                lines = block.split(b"\n", 2)
-                number = lines[0].split(b" ")[0]
-                version = int(number) if number.isdigit() else 1
-                if len(lines) > 1 and lines[1].split()[:1] == [b"URL"]:
-                    names = lines[1].decode("ascii", "replace").split()
-            at = payload_at(block)
-            name = header_value(block[:at], NAME) if at else None
-            yield (
-                archive, start, version, uri, fields["IP-address"], date, fields["Content-type"], kind,
-                name, len(block) - at, digest(block[at:]), damage, block if blocks else None,
-            )
-    except (EOFError, zlib.error, gzip.BadGzipFile):
+    (source, members), position, names, version, opened, skipped = _opened(content), 0, FIELDS[1].split(), 1, None, False
+    while line := source.readline():
+        start = position
+        position += len(line)
+        if not line.strip():
+            continue
+        own = line.startswith(b"filedesc:")
+        if own:  # its form is known only from the block that follows
+            forms = [n.split() for n in (FIELDS[2], FIELDS[1])]
+            fields = next((f for f in (_fields(line, n) for n in forms) if f), None)
+        else:
+            fields = _fields(line, names)
+        if fields is None:
+            skipped = True
+            continue
+        size = int(fields["Archive-length"])
+        block = _taken(source, size)
+        position += len(block)
+        damage = "truncated" if len(block) < size else "skipped" if skipped else None
+        skipped = False
+        uri, kind = fields["URL"], "warcinfo" if own else _typed(fields["URL"], block)
+        date = iso_time(fields["Archive-date"]) or opened
+        if own:
+            opened = date
+            lines = block.split(b"\n", 2)
+            number = lines[0].split(b" ")[0]
+            version = int(number) if number.isdigit() else 1
+            if len(lines) > 1 and lines[1].split()[:1] == [b"URL"]:
+                names = lines[1].decode("ascii", "replace").split()
+        at = payload_at(block)
+        name = header_value(block[:at], NAME) if at else None
+        yield (
+            archive, start, version, uri, fields["IP-address"], date, fields["Content-type"], kind,
+            name, len(block) - at, digest(block[at:]), damage, block if blocks else None,
+        )
+    if members and members.broken:
         yield (archive, position, version, None, None, opened, None, None, None, None, None, "unreadable", None)
 
 
@@ -286,38 +324,37 @@ def parse_warc(content: bytes, archive: str, blocks: bool) -> Iterator[tuple]:
     Digests and sizes are those of the payload found; a revisit, which holds none, gives
     those its header states. A digest that is not the stated one is damage ``digest``.
     """
-    source, position = _opened(content), 0
-    try:
-        while line := source.readline():
-            start = position
-            position += len(line)
-            if not line.strip():
-                continue
-            if not line.startswith(b"WARC/"):
-                raise ValueError(f"no WARC record at {start} of {archive}")
-            head: dict[str, str] = {}
-            while (line := source.readline()).strip():
-                position += len(line)
-                key, _, value = line.decode("utf-8", "replace").partition(":")
-                head[key.strip().lower()] = value.strip()
+    (source, members), position = _opened(content), 0
+    while line := source.readline():
+        start = position
+        position += len(line)
+        if not line.strip():
+            continue
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record at {start} of {archive}")
+        head: dict[str, str] = {}
+        while (line := source.readline()).strip():
             position += len(line)
-            size = int(head["content-length"])
-            block = _taken(source, size)
-            position += len(block)
-            at = payload_at(block) if head.get("content-type", "").startswith("application/http") else 0
-            said = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
-            damage = "truncated" if len(block) < size else None
-            if head["warc-type"] == "revisit":
-                length, found = int(head.get("x-payload-length", -1)), said
-            else:
-                length, found = len(block) - at, digest(block[at:])
-                damage = damage or ("digest" if said not in (None, found) else None)
-            yield (
-                archive, start, head["warc-record-id"], head["warc-type"], head.get("warc-date"),
-                head.get("warc-target-uri"), head.get("content-type"), header_value(block[:at], NAME) if at else None,
-                head.get("warc-refers-to"), length, found, damage, block if blocks else None,
-            )
-    except (EOFError, zlib.error, gzip.BadGzipFile):
+            key, _, value = line.decode("utf-8", "replace").partition(":")
+            head[key.strip().lower()] = value.strip()
+        position += len(line)
+        size = int(head["content-length"])
+        block = _taken(source, size)
+        position += len(block)
+        at = payload_at(block) if head.get("content-type", "").startswith("application/http") else 0
+        said = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
+        damage = "truncated" if len(block) < size else None
+        if head["warc-type"] == "revisit":
+            length, found = int(head.get("x-payload-length", -1)), said
+        else:
+            length, found = len(block) - at, digest(block[at:])
+            damage = damage or ("digest" if said not in (None, found) else None)
+        yield (
+            archive, start, head["warc-record-id"], head["warc-type"], head.get("warc-date"),
+            head.get("warc-target-uri"), head.get("content-type"), header_value(block[:at], NAME) if at else None,
+            head.get("warc-refers-to"), length, found, damage, block if blocks else None,
+        )
+    if members and members.broken:
         yield (archive, position, None, None, None, None, None, None, None, None, None, "unreadable", None)
 
 
