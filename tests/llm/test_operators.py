@@ -299,7 +299,7 @@ def test_given_benchmark_passages_are_found(spark):
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_gives_the_rows_of_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     want = con.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
