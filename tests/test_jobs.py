@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tollgate.functions import in_range
 from tollgate.operators.registry import champion, read_registry
 from tollgate.operators.train import held_out
-from tollgate.plans import export_latest, prepare, retrain, validate
+from tollgate.plans import export_latest, latest, prepare, retrain, validate
 from tollgate.sources import load_model
 from tollgate.sources.logs import RUNS, read_log
 from tollgate.spec import DatasetSpec, Rule, schema_of
@@ -53,16 +53,16 @@ def test_prepare_retrain_validate(spark, path):
     prepare(spark, SPEC, path("raw"), path("checkpoint"), path("clean"))
     since = date(2024, 1, 1)
     export_latest(spark, SPEC, path("clean"), path("latest"), since)
-    latest = spark.read.parquet(path("latest"))
-    assert latest.count() == counts["rows_kept"]
-    assert latest.select("day").distinct().count() == 3
+    table = latest(spark, SPEC, path("latest"))
+    assert table.count() == counts["rows_kept"]
+    assert table.select("day").distinct().count() == 3
 
     # a late transaction replaces no other one of its day
     late = spark.createDataFrame([("9999;2024-01-02 23:00:00;1.0;card",)], "value string")
     late.write.mode("append").text(path("raw"))
     prepare(spark, SPEC, path("raw"), path("checkpoint"), path("clean"))
     export_latest(spark, SPEC, path("clean"), path("latest"), since)
-    assert spark.read.parquet(path("latest")).count() == counts["rows_kept"] + 1
+    assert latest(spark, SPEC, path("latest")).count() == counts["rows_kept"] + 1
 
     def train(grid, **options):
         return retrain(

@@ -44,6 +44,19 @@ def test_bad_lines_are_kept_aside_whatever_is_selected(spark, path):
     assert df.filter("_corrupt IS NOT NULL").select("value").count() == 4
 
 
+def test_lines_come_back_as_they_stand_in_the_file(spark, path):
+    spec = DatasetSpec(
+        name="q", schema=schema_of(id="long", at="timestamp_ntz", x="double", note="string"), key=("id",),
+        delimiter=";", header=True,
+    )
+    bad = ['2;notatime;1.0;"a;b"', '3;2024-01-01 00:00:00;"1,5";', "4;", ' 5 ;x;1;"q""q"', "6;2024-01-01 00:00:00;1.0;a;b"]
+    drop(spark, ["id;at;x;note", '1;2024-01-01 00:00:00;1.0;"a;b"', *bad, "", "  "], path("raw"))
+    drop(spark, ["id;at;x;note", "7;2024-01-01 00:00:00;2.0;"], path("raw"))
+    rows = read_raw(spark, path("raw"), spec).collect()
+    assert sorted(r._corrupt for r in rows if r._corrupt is not None) == sorted(bad)
+    assert sorted((r.id, r.x, r.note) for r in rows if r._corrupt is None) == [(1, 1.0, "a;b"), (7, 2.0, None)]
+
+
 def test_rerun_loads_nothing_and_a_new_file_only_its_rows(spark, path):
     drop(spark, GOOD + BAD, path("raw"))
     places = path("raw"), SPEC, path("checkpoint"), path("out")

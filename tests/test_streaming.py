@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tollgate.operators.clean import dedup_stream
 from tollgate.operators.train import fit, score
-from tollgate.sources.logs import STREAM_METRICS, read_log
+from tollgate.sources.logs import read_load
 from tollgate.spec import DatasetSpec, schema_of
 from tollgate.streaming.messages import MESSAGES, decode, encode
 from tollgate.streaming.scoring import route_messages, score_messages
@@ -82,7 +82,7 @@ def test_stream_scores_equal_batch_scores(spark, rows, path):
     assert sum(r.n_in for r in volume(spark, query.recentProgress).collect()) == 500
     assert performance(spark, query.recentProgress).filter("trigger_ms > 0").count() == 4
     for _ in range(100):
-        logged = read_log(spark, path("load"), STREAM_METRICS)
+        logged = read_load(spark, path("load"))
         if logged.agg(F.sum("n_in")).first()[0] == 500:
             break
         time.sleep(0.2)

@@ -1,6 +1,8 @@
+from dataclasses import replace
 from datetime import date
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tollgate.operators.features import attach_labels, class_weights, folds, split
@@ -100,6 +102,31 @@ def test_search_finds_the_better_setting(rows):
     assert score(rows, model).filter("p > 0").count() > 0
 
 
+@pytest.mark.parametrize("weight", [None, "weight"])
+def test_sums_give_the_models_that_fits_give(rows, weight):
+    """A grid with modelType is fitted fold by fold, one without is not."""
+    df = class_weights(rows, "fraud") if weight else rows
+    spec = replace(SPEC, hashed=("id",), hash_buckets=8)
+    grid = {"family": "bayes", "smoothing": [0.1, 1.0, 500.0]}
+    _, params, table = search(df, spec, grid, weight=weight)
+    _, same, fitted = search(df, spec, {**grid, "modelType": ["multinomial"]}, weight=weight)
+    got, want = ({r.setting: r.metric for r in t.collect()} for t in (table, fitted))
+    assert got == pytest.approx(want, abs=1e-9) and params["smoothing"] == same["smoothing"]
+
+
+def test_sums_refuse_negative_features(rows):
+    with pytest.raises(ValueError, match="negative"):
+        search(rows.withColumn("amount", -F.col("amount")), SPEC, {"family": "bayes", "smoothing": [1.0]})
+
+
+def test_hashed_columns_need_no_list_of_values(spark, rows):
+    spec = replace(SPEC, hashed=("id",), hash_buckets=16, categorical=(), max_categories=1)
+    model = fit(rows, spec, {"family": "bayes"})
+    odd = spark.createDataFrame([(10**12, 3.0, "x"), (None, 3.0, None)], "id long, amount double, kind string")
+    found = model.transform(odd).select(F.array_size(vector_to_array("features")).alias("n"), "probability").collect()
+    assert [r.n for r in found] == [18, 18] and all(0 < r.probability[1] < 1 for r in found)
+
+
 def test_one_class_cannot_be_searched(rows):
     with pytest.raises(ValueError, match="one class"):
         search(rows.filter("fraud = 0"), SPEC, {"family": "bayes", "smoothing": [1.0]})

@@ -10,6 +10,7 @@ from tollgate.functions.hashing import POISSON_ONE_CDF
 from tollgate.operators.registry import champion, read_registry, register
 from tollgate.operators.validate import (
     bootstrap,
+    bootstrap_metric,
     common_replicates,
     distribution,
     promote,
@@ -86,6 +87,22 @@ def test_bootstrap_against_brute_force(scored):
         assert metric == pytest.approx(want, abs=1e-12)
 
 
+@pytest.mark.parametrize("n_rep", [1, 20, 23])
+def test_metric_without_the_sample_is_the_same(spark, scored, n_rep):
+    odd = spark.createDataFrame([("new", 900, 1, None), ("prev", 901, 0, float("nan"))], scored.schema)
+    want = {(r.model, r.b): r.metric for r in replicate_metric(bootstrap(scored, ["k"], n_rep)).collect()}
+    for df in (scored, scored.union(odd).repartition(5, "p")):
+        got = {(r.model, r.b): r.metric for r in bootstrap_metric(df, ["k"], n_rep).collect()}
+        assert got == pytest.approx(want, abs=1e-12) and len(got) == 2 * n_rep
+
+
+def test_replicates_of_one_class_have_no_metric(spark):
+    few = spark.createDataFrame([("m", k, int(k == 0), 0.1 * k) for k in range(3)], "model string, k int, label int, p double")
+    got = {r.b: r.metric for r in bootstrap_metric(few, ["k"], 40).collect()}
+    want = {r.b: r.metric for r in replicate_metric(bootstrap(few, ["k"], 40)).collect()}
+    assert got == want and None in got.values() and len(set(got.values())) > 1
+
+
 def test_bootstrap_is_the_same_however_rows_are_spread(scored):
     def run(df):
         return sorted(map(tuple, replicate_metric(bootstrap(df, ["k"], 5)).collect()))

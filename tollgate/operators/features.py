@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import (
+    Bucketizer,
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
@@ -27,11 +28,20 @@ def with_label(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return df.withColumn(spec.label, F.expr(spec.label_expr)) if spec.label_expr else df
 
 
+def bucket_sql(column: str, buckets: int) -> str:
+    """The place of a value among ``buckets``, from a hash of column name and value; null
+    is a value."""
+    text = f"coalesce(concat('{column}=', cast({column} AS string)), '{column}')"
+    return f"cast(pmod(cast(conv(substr(md5({text}), 1, 8), 16, 10) AS bigint), {buckets}) AS double)"
+
+
 def feature_stages(spec: DatasetSpec) -> list:
     """The spec's columns to one ``features`` vector, one-hot columns first.
 
     Derived columns are a stage as well, so a saved model scores raw rows. A
-    category not seen in training becomes all zeros.
+    category not seen in training becomes all zeros. The values of a hashed column,
+    however many, share a fixed number of features: none is indexed or reaches the
+    driver, and one not seen in training has its feature like any other.
     """
     stages: list = []
     inputs: list[str] = []
@@ -48,6 +58,15 @@ def feature_stages(spec: DatasetSpec) -> list:
         )
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=onehot))
         inputs += onehot
+    if spec.hashed:
+        buckets = ", ".join(f"{bucket_sql(c, spec.hash_buckets)} AS {c}_hash" for c in spec.hashed)
+        stages.append(SQLTransformer(statement=f"SELECT *, {buckets} FROM __THIS__"))
+        hashes, places, onehot = ([f"{c}_{x}" for c in spec.hashed] for x in ("hash", "place", "hashed"))
+        # bounds that say how many places there are, so that no pass over the rows has to
+        bounds = [float(i) for i in range(spec.hash_buckets + 1)]
+        stages.append(Bucketizer(splitsArray=[bounds] * len(hashes), inputCols=hashes, outputCols=places))
+        stages.append(OneHotEncoder(inputCols=places, outputCols=onehot, dropLast=False))
+        inputs += onehot
     inputs += spec.numeric
     assembled = "raw_features" if spec.scale else "features"
     stages.append(VectorAssembler(inputCols=inputs, outputCol=assembled))
@@ -57,7 +76,8 @@ def feature_stages(spec: DatasetSpec) -> list:
 
 
 def check_categories(df: DataFrame, spec: DatasetSpec) -> None:
-    """Indexing brings a column's values to the driver; refuse columns with too many."""
+    """Indexing brings a column's values to the driver; refuse columns with too many, by an
+    approximate count. Such a column belongs in the spec's ``hashed``."""
     if not spec.categorical:
         return
     counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in spec.categorical]).first()

@@ -22,8 +22,6 @@ from ..session import shuffle_width
 RANGE = "_range"
 SALT = "_salt"
 MAX_RANGES = 8_192
-# So few distinct scores are ranked by one task without being cut up.
-ONE_RANGE_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -51,10 +49,6 @@ def score_cuts(df: DataFrame, score: str, ranges: int | None = None) -> ScoreCut
     return ScoreCuts(splits, {at[f]: share for f, share in shares.items()})
 
 
-def one_range() -> ScoreCuts:
-    return ScoreCuts((-math.inf, math.inf), {})
-
-
 def with_salt(df: DataFrame, keys: Sequence[str], cuts: ScoreCuts, width: int) -> DataFrame:
     """Spread a tied range over as many of ``width`` partitions as its share of rows asks for."""
     salts = [
@@ -114,8 +108,14 @@ def rank_totals(
             _total("neg"),
         )
     )
-    ranges = parts
-    if SALT in df.columns:
+    return join_ranges(parts, by, list(extra))
+
+
+def join_ranges(parts: DataFrame, by: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """Totals of each group from those of its ranges: ``pos``, ``neg``, ``pairs`` inside the
+    range, its lowest and highest score, and ``extra`` sums."""
+    by, ranges = list(by), parts
+    if SALT in parts.columns:
         ranges = parts.groupBy(*by, RANGE).agg(
             _total("pos"),
             _total("neg"),

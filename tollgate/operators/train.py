@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, time, timezone
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -16,6 +17,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +27,8 @@ from ..session import stored
 from ..spec import DatasetSpec
 from ..sources.logs import log_run
 from ..sources.models import save_model
-from ..sources.files import LOAD, read_clean
-from .clean import dedup
+from ..sources.files import read_clean
+from .clean import dedup, last_loaded
 from .features import (
     attach_labels,
     check_categories,
@@ -36,7 +38,7 @@ from .features import (
     split,
     with_label,
 )
-from .metrics import ONE_RANGE_ROWS, auc, metrics, one_range, score_cuts
+from .metrics import auc, metrics, score_cuts
 
 FAMILIES = {
     "bayes": NaiveBayes,
@@ -132,7 +134,7 @@ def search(
     all rows with the best parameters, these parameters, and one row per setting.
     Folds come from the key, so copies of a row never face each other. Features
     are assembled once and kept. A fold whose training rows are of one class is
-    left out. The settings run in driver threads that only submit jobs. (Spark's
+    left out. All settings are scored in one pass and measured in one. (Spark's
     CrossValidator is not used: with a fold column it calls a Python function on
     every row, and its evaluator is binned by default.)
     """
@@ -148,38 +150,28 @@ def search(
     features, ready = _assemble(folds(df, spec.key, n_folds), spec, kept)
     kept_on = StorageLevel.MEMORY_AND_DISK
     ready = ready.persist(kept_on)
-
-    def evaluate(i: int) -> tuple[float | None, int]:
-        scored = None
-        for fold in usable:
-            model = learner.fit(ready.filter(F.col("fold") != fold), settings[i])
-            held_out = model.transform(ready.filter(F.col("fold") == fold)).select(
-                "fold", spec.label, positive_probability().alias("p")
-            )
-            scored = held_out if scored is None else scored.unionByName(held_out)
-        cells = scored.groupBy("fold", spec.label, "p").agg(F.count("*").alias("rows")).persist(kept_on)
-        try:
-            cuts = one_range() if cells.count() <= ONE_RANGE_ROWS else score_cuts(cells, "p")
-            by_fold = auc(cells, ["fold"], "p", spec.label, "rows", cuts)
-            row = by_fold.agg(F.avg("auc").alias("metric"), F.count("auc").alias("folds")).first()
-        finally:
-            cells.unpersist()
-        return row.metric, row.folds
-
     try:
         usable = _two_class_folds(ready, spec.label, n_folds)
         if not usable:
             raise ValueError("in every fold the training rows are of one class")
-        task = inheritable_thread_target(df.sparkSession)(evaluate)
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            results = list(pool.map(task, range(len(settings))))
+        if family == "bayes" and set(grid) <= {"smoothing"}:
+            scored = _bayes_scores(ready, spec.label, weight, learner, settings, usable)
+        else:
+            scored = _fitted_scores(ready, spec.label, learner, settings, usable, parallelism)
+        cells = scored.groupBy("setting", "fold", spec.label, "p").agg(F.count("*").alias("rows")).persist(kept_on)
+        try:
+            by_fold = auc(cells, ["setting", "fold"], "p", spec.label, "rows", score_cuts(cells, "p"))
+            by_setting = by_fold.groupBy("setting").agg(F.avg("auc").alias("metric"), F.count("auc").alias("folds"))
+            found = {r.setting: (r.metric, r.folds) for r in by_setting.collect()}
+        finally:
+            cells.unpersist()
         named = [{p.name: v for p, v in s.items()} for s in settings]
         rows = [
-            (i, {"family": family, **{k: str(v) for k, v in named[i].items()}}, m, n)
-            for i, (m, n) in enumerate(results)
+            (i, {"family": family, **{k: str(v) for k, v in params.items()}}, *found[i])
+            for i, params in enumerate(named)
         ]
         table = df.sparkSession.createDataFrame(rows, SEARCH_TABLE)
-        if all(metric is None for metric, _ in results):
+        if all(metric is None for metric, _ in found.values()):
             raise ValueError("no fold holds out both classes")
         best = best_run(table).first().setting
         final = learner.fit(ready, settings[best])
@@ -189,6 +181,75 @@ def search(
     return model, {"family": family, **named[best]}, table
 
 
+def _fitted_scores(
+    ready: DataFrame, label: str, learner, settings: Sequence, usable: Sequence[int], parallelism: int
+) -> DataFrame:
+    """Held-out rows scored by every setting: a fit for each setting and fold, in driver
+    threads that only submit jobs; a fold is scored by all its models in one pass."""
+
+    def fitted(place: tuple[int, int]):
+        fold, i = place
+        return learner.fit(ready.filter(F.col("fold") != fold), settings[i])
+
+    places = [(fold, i) for fold in usable for i in range(len(settings))]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        models = dict(zip(places, pool.map(inheritable_thread_target(ready.sparkSession)(fitted), places), strict=True))
+    scored = None
+    for fold in usable:
+        wide = ready.filter(F.col("fold") == fold)
+        for i in range(len(settings)):
+            wide = models[fold, i].transform(wide).withColumn(f"_p{i}", positive_probability())
+            wide = wide.drop("rawPrediction", "probability", "prediction")
+        pairs = [F.struct(F.lit(i).alias("setting"), F.col(f"_p{i}").alias("p")) for i in range(len(settings))]
+        held_out = wide.select("fold", label, F.inline(F.array(*pairs)))
+        scored = held_out if scored is None else scored.unionByName(held_out)
+    return scored
+
+
+def _bayes_scores(
+    ready: DataFrame, label: str, weight: str | None, learner, settings: Sequence, usable: Sequence[int]
+) -> DataFrame:
+    """Held-out rows scored by naive Bayes of every smoothing, without a fit.
+
+    The model is made of sums: of weights and of features, by label. They are counted
+    once by fold; what a fold is not trained on are the totals less its own. So one pass
+    counts and one scores, however many settings and folds there are. What reaches the
+    driver are the sums, two feature vectors a fold, and what goes back the models.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    summary = Summarizer.metrics("sum", "min").summary(F.col("features"), w).alias("s")
+    counted = ready.groupBy("fold", label).agg(summary, F.sum(w).alias("w")).select("fold", label, "s.sum", "s.min", "w")
+    sums = {(r.fold, int(r[1])): (r.w, r["sum"].toArray()) for r in counted.collect() if _nonnegative(r)}
+    dims = len(next(iter(sums.values()))[1])
+    nothing = (0.0, np.zeros(dims))
+    all_folds = sorted({fold for fold, _ in sums})
+    models = []
+    for fold in usable:
+        rest = [[sums.get((f, y), nothing) for f in all_folds if f != fold] for y in (0, 1)]
+        n, x = zip(*[(sum(v for v, _ in own), sum(v for _, v in own)) for own in rest], strict=True)
+        made = []
+        for i, setting in enumerate(settings):
+            smooth = setting.get(learner.smoothing, learner.getSmoothing())
+            theta = [np.log(x[y] + smooth) - np.log(x[y].sum() + dims * smooth) for y in (0, 1)]
+            prior = float(np.log(n[1] + smooth) - np.log(n[0] + smooth))
+            made.append((i, prior, (theta[1] - theta[0]).tolist()))
+        models.append((fold, made))
+    schema = "fold int, models array<struct<setting: int, prior: double, weights: array<double>>>"
+    known = F.broadcast(ready.sparkSession.createDataFrame(models, schema))  # folds x settings x features numbers
+    rows = ready.join(known, "fold").select("fold", label, F.unwrap_udt("features").alias("x"), F.inline("models"))
+    sparse = F.zip_with("x.indices", "x.values", lambda i, v: F.get("weights", i) * v)
+    dense = F.zip_with("x.values", "weights", lambda v, b: v * b)
+    parts = F.when(F.col("x.type") == 0, sparse).otherwise(dense)
+    product = F.aggregate(parts, F.col("prior"), lambda s, v: s + v)
+    return rows.select("setting", "fold", label, (1.0 / (1.0 + F.exp(-product))).alias("p"))
+
+
+def _nonnegative(row) -> bool:
+    if min(row["min"].toArray(), default=0.0) < 0:
+        raise ValueError("naive Bayes needs features that are not negative")
+    return True
+
+
 def _two_class_folds(ready: DataFrame, label: str, n_folds: int) -> list[int]:
     """Folds whose training rows hold both classes."""
     counts = ready.groupBy("fold").agg(F.count("*").alias("n"), F.sum(label).alias("pos"))
@@ -220,10 +281,8 @@ def training_rows(
     labels: DataFrame | None = None,
 ) -> DataFrame:
     """The last loaded row of each key, labelled and split into ``part``, stored."""
-    rows = loaded_between(read_clean(spark, spec, clean_path), since, until)
-    last = [F.desc("load_date"), F.desc(LOAD)]
-    last += [F.desc(c) for c in spec.columns if c not in spec.key]
-    rows = dedup(rows, list(spec.key), last).select(*spec.columns)
+    rows = loaded_between(read_clean(spark, spec, clean_path, since), since, until)
+    rows = dedup(rows, list(spec.key), last_loaded(spec)).select(*spec.columns)
     if labels is not None:
         rows = attach_labels(rows, labels, list(spec.key))
     rows = with_label(rows, spec).select(*spec.columns, spec.label)
@@ -255,6 +314,7 @@ def retrain(
     labels: DataFrame | None = None,
     weight: str | None = None,
     n_folds: int = 3,
+    rows: DataFrame | None = None,
 ) -> dict:
     """Search on the rows loaded since ``since``, save the model, log the run.
 
@@ -262,9 +322,11 @@ def retrain(
     for the logged metrics and for validation; ``held_out`` gives them. ``weight``
     names a column that gets class weights, taken from the training part. The rows
     are stored, with the columns that the spec names, since training passes over
-    them several times.
+    them several times. Who needs them afterwards, as validation does, gets them from
+    ``training_rows`` and hands them in as ``rows``: they are then made only once.
     """
-    rows = training_rows(spark, spec, clean_path, since, until, labels)
+    if rows is None:
+        rows = training_rows(spark, spec, clean_path, since, until, labels)
     fitted = rows.filter(F.col("part") == "train")
     if weight is not None:
         fitted = class_weights(fitted, spec.label, weight)

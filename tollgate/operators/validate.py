@@ -13,10 +13,22 @@ from pyspark.sql import functions as F
 from ..functions import hash_word, poisson_one, two_sided_p
 from ..functions.hashing import WORDS_PER_HASH, joined_key
 from ..session import shuffle_width
-from .metrics import RANGE, SALT, ScoreCuts, auc, score_cuts, with_range, with_salt
+from .metrics import (
+    RANGE,
+    SALT,
+    ScoreCuts,
+    auc,
+    join_ranges,
+    score_cuts,
+    usable,
+    with_range,
+    with_salt,
+)
 
 REPLICATES = 100
 ALPHA = 0.05
+# Replicates whose weights one row holds, a column each; whole hashes.
+WIDTH = 5 * WORDS_PER_HASH
 
 
 def bootstrap(
@@ -28,21 +40,10 @@ def bootstrap(
     """V1: each row once per replicate ``b`` that drew it, with its Poisson(1) weight.
 
     Weights come from the row's key, so a replicate is the same however the rows
-    are spread. The rows are shuffled by model and score range *before* they are
-    multiplied, and V2 then needs them nowhere else: the shuffle carries n rows,
-    not n * n_rep. Rows that share one frequent score are spread by a salt.
+    are spread. This is the sample itself; `bootstrap_metric` takes its metric without
+    making it.
     """
-    cuts = cuts or score_cuts(scored, "p")
-    narrow = with_range(scored.select("model", *key, "label", "p"), "p", cuts)
-    carried = ["model", "label", "p", RANGE]
-    places = ["model", RANGE]
-    width = shuffle_width(scored.sparkSession)
-    if cuts.tied:
-        narrow = with_salt(narrow, key, cuts, width)
-        carried.append(SALT)
-        places.append(SALT)
-    ident = joined_key("model", *key).alias("_ident")
-    placed = narrow.select(*carried, ident).repartition(width, *places)
+    placed, carried = _placed(scored, key, cuts)
     last_block = (n_rep - 1) // WORDS_PER_HASH
     block = F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
     hashed = placed.select("*", block).withColumn(
@@ -65,6 +66,88 @@ def bootstrap(
     )
 
 
+def _placed(
+    scored: DataFrame, key: Sequence[str], cuts: ScoreCuts | None
+) -> tuple[DataFrame, list[str]]:
+    """Rows laid out by model and score range, and the columns that they carry.
+
+    They are shuffled *before* they are multiplied, and V2 needs them nowhere else: the
+    shuffle carries n rows, not n * n_rep. Rows that share one frequent score are spread
+    by a salt.
+    """
+    cuts = cuts or score_cuts(scored, "p")
+    narrow = with_range(scored.select("model", *key, "label", "p"), "p", cuts)
+    carried = ["model", "label", "p", RANGE]
+    places = ["model", RANGE]
+    width = shuffle_width(scored.sparkSession)
+    if cuts.tied:
+        narrow = with_salt(narrow, key, cuts, width)
+        carried.append(SALT)
+        places.append(SALT)
+    ident = joined_key("model", *key).alias("_ident")
+    return narrow.select(*carried, ident).repartition(width, *places), carried
+
+
+def bootstrap_metric(
+    scored: DataFrame,
+    key: Sequence[str],
+    n_rep: int = REPLICATES,
+    cuts: ScoreCuts | None = None,
+) -> DataFrame:
+    """V1 and V2 in one: ROC AUC of each replicate, as `replicate_metric` of `bootstrap`.
+
+    A row holds the weights of a block of replicates, a column each, so the rows that
+    are sorted are n times the blocks, not n times the replicates drawn. Sums and running
+    sums are taken per column, and only totals of ranges are unfolded to replicates.
+    """
+    placed, _ = _placed(usable(scored, "p"), key, cuts)
+    blocks = -(-n_rep // WIDTH)
+    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
+    per_block = WIDTH // WORDS_PER_HASH
+    digests = [
+        F.md5(F.concat_ws("#", "_ident", (F.col("_block") * per_block + d).cast("string"))).alias(f"_d{d}")
+        for d in range(per_block)
+    ]
+    places = ["model", RANGE, *([SALT] if SALT in placed.columns else []), "_block"]
+    hashed = placed.select("*", block).select(*places, "label", "p", *digests)
+    columns = range(WIDTH)
+    weights = {
+        f"_w{i}": poisson_one(hash_word(F.col(f"_d{i // WORDS_PER_HASH}"), i % WORDS_PER_HASH)).cast("double")
+        for i in columns
+    }
+    is_pos = F.col("label") == 1
+    scores = hashed.select(*places, "label", "p", *[w.alias(name) for name, w in weights.items()])
+    scores = scores.groupBy(*places, "p").agg(
+        *[F.sum(F.when(is_pos, F.col(w)).otherwise(0.0)).alias(w.replace("_w", "_pos")) for w in weights],
+        *[F.sum(F.when(is_pos, 0.0).otherwise(F.col(w))).alias(w.replace("_w", "_neg")) for w in weights],
+    )
+    lower = Window.partitionBy(*places).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    below = [F.coalesce(F.sum(f"_neg{i}").over(lower), F.lit(0.0)).alias(f"_below{i}") for i in columns]
+    ranked = scores.select("*", *below)
+
+    def pairs(i: int):
+        return F.sum(F.col(f"_pos{i}") * (F.col(f"_below{i}") + 0.5 * F.col(f"_neg{i}")))
+
+    drawn = [F.col(f"_pos{i}") + F.col(f"_neg{i}") > 0 for i in columns]
+    totals = ranked.groupBy(*places).agg(
+        *[
+            F.struct(
+                F.sum(f"_pos{i}").alias("pos"), F.sum(f"_neg{i}").alias("neg"), pairs(i).alias("pairs"),
+                F.min(F.when(drawn[i], F.col("p"))).alias("low"), F.max(F.when(drawn[i], F.col("p"))).alias("high"),
+            ).alias(f"_t{i}")
+            for i in columns
+        ]
+    )
+    replicate = [
+        F.struct((F.col("_block") * WIDTH + i).alias("b"), f"_t{i}.*") for i in columns
+    ]
+    parts = totals.select(*places, F.inline(F.array(*replicate))).drop("_block")
+    parts = parts.filter((F.col("b") < n_rep) & F.col("low").isNotNull())
+    found = join_ranges(parts, ["model", "b"])
+    value = F.col("pairs") / F.nullif(F.col("pos") * F.col("neg"), F.lit(0.0))
+    return found.select("model", "b", value.alias("metric"))
+
+
 def replicate_metric(boot: DataFrame) -> DataFrame:
     """V2: ROC AUC of each replicate; null for one that drew a single class."""
     return auc(boot, ["model", "b"], "p", "label", "w").withColumnRenamed("auc", "metric")

@@ -6,10 +6,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..operators.clean import BROKEN, RAW, STATUS, clean_report, dedup
+from ..operators.clean import BROKEN, RAW, STATUS, clean_report, dedup, last_loaded
 from ..session import stored
-from ..sources.files import LOAD, clean_schema, load_new, read_clean, write_clean
+from ..sources.exports import read_export, switch_export, write_export
+from ..sources.files import clean_schema, load_new, read_clean
 from ..spec import DatasetSpec
 
 
@@ -23,12 +25,9 @@ def prepare(
     max_files: int | None = 10_000,
 ) -> DataFrame:
     """Load what is new; returns the cleaning report of these loads, or of all rows loaded
-    since ``since``. Only the partitions of what is reported are read."""
+    since ``since``. Only the partitions of what is reported are listed and read."""
     loads = load_new(spark, raw_path, spec, checkpoint, clean_path, max_files)
-    loaded = read_clean(spark, spec, clean_path)
-    if since is not None:
-        return clean_report(loaded.filter(F.col("load_date") >= F.lit(since)))
-    return clean_report(loaded.filter(F.col(LOAD).isin(loads)))
+    return clean_report(read_clean(spark, spec, clean_path, since, loads if since is None else None))
 
 
 def export_latest(
@@ -38,28 +37,33 @@ def export_latest(
 
     A partition gets the last loaded row of each key that now belongs to it, of old
     loads too. A key may move to another partition: the one it leaves is written as
-    well, and removed when nothing is left in it.
+    well, and is gone when nothing is left in it. All partitions switch at once, when
+    all are written; `latest` reads the table.
     """
+    switch_export(spark, out, write_latest(spark, spec, clean_path, out, since))
+
+
+def write_latest(
+    spark: SparkSession, spec: DatasetSpec, clean_path: str, out: str, since: date
+) -> str:
+    """The export without the switch; returns its id."""
     kept = read_clean(spark, spec, clean_path).filter(F.col(STATUS) == "kept").drop(STATUS, BROKEN, RAW)
-    last_first = [F.desc("load_date"), F.desc(LOAD)]
-    if spec.event_time:
-        last_first.append(F.desc(spec.event_time))
-    named = {"load_date", LOAD, spec.event_time, *spec.key}
-    last_first += [F.asc(c) for c in kept.columns if c not in named]
+    order = last_loaded(spec)
     if not spec.partition_cols:
-        write_clean(dedup(kept, list(spec.key), last_first), out)
-        return
+        return write_export(spark, dedup(kept, list(spec.key), order), out, (), None)
     fresh = kept.filter(F.col("load_date") >= F.lit(since)).select(*spec.key).distinct()
     places = _semi(kept, fresh, spec.key).select(*spec.partition_cols).distinct()
     places = stored(places, "touched-partitions")
     # every row of each key that has one there, so that its last row is known
     keys = _semi(kept, places, spec.partition_cols).select(*spec.key).distinct()
-    last = dedup(_semi(kept, keys, spec.key), list(spec.key), last_first)
-    last = stored(_semi(last, places, spec.partition_cols), "latest")
-    write_clean(last, out, spec.partition_cols)
-    emptied = places.exceptAll(last.select(*spec.partition_cols).distinct())
-    for place in emptied.toLocalIterator():
-        _remove_partition(spark, out, spec, place)
+    last = dedup(_semi(kept, keys, spec.key), list(spec.key), order)
+    return write_export(spark, _semi(last, places, spec.partition_cols), out, spec.partition_cols, places)
+
+
+def latest(spark: SparkSession, spec: DatasetSpec, out: str) -> DataFrame:
+    """The table that `export_latest` keeps: one row per key."""
+    columns = [f for f in clean_schema(spark, spec) if f.name not in (STATUS, BROKEN, RAW)]
+    return read_export(spark, out, StructType(columns))
 
 
 def _semi(df: DataFrame, other: DataFrame, columns) -> DataFrame:
@@ -67,17 +71,3 @@ def _semi(df: DataFrame, other: DataFrame, columns) -> DataFrame:
     other = other.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
     same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(columns)]
     return df.join(other, same, "left_semi")
-
-
-def _remove_partition(spark: SparkSession, out: str, spec: DatasetSpec, place) -> None:
-    """Delete one partition's files, found by its values."""
-    types = {f.name: f.dataType for f in clean_schema(spark, spec)}
-    table = spark.read.schema(",".join(f"`{c}` {types[c].simpleString()}" for c in spec.partition_cols))
-    rows = table.parquet(out)
-    for c in spec.partition_cols:
-        rows = rows.filter(F.col(c).eqNullSafe(F.lit(place[c]).cast(types[c])))
-    files = [r[0] for r in rows.select("_metadata.file_path").distinct().toLocalIterator()]
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for name in files:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        path.getFileSystem(conf).delete(path, False)

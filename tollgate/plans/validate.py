@@ -11,11 +11,10 @@ from ..operators.train import score_models
 from ..operators.validate import (
     ALPHA,
     REPLICATES,
-    bootstrap,
+    bootstrap_metric,
     common_replicates,
     distribution,
     promote,
-    replicate_metric,
     t_test,
 )
 from ..session import stored
@@ -45,7 +44,7 @@ def validate(
     if last is not None:
         models["prev"] = load_model(last.model_uri)
     scored = score_models(rows, spec, models)
-    replicates = common_replicates(replicate_metric(bootstrap(scored, spec.key, n_rep)))
+    replicates = common_replicates(bootstrap_metric(scored, spec.key, n_rep))
     # At most two models times n_rep rows: stored, so that the gate, the registry
     # and the answer below do not each run the bootstrap again.
     dist = distribution(stored(replicates, "replicates"))

@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from datetime import date
+from dataclasses import replace
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean, clean_report, dedup, null_policy, tag
-from ..plans.prepare import export_latest, prepare
-from ..session import scratch
+from ..operators.clean import (
+    clean,
+    clean_report,
+    dedup,
+    null_policy,
+    observe_clean,
+    observed_report,
+    tag,
+)
+from ..plans.prepare import export_latest, latest, prepare, write_latest
+from ..session import scratch, stored
+from ..sources.exports import drop_old_exports, switch_export
 from ..sources.files import (
     anti_manifest,
     load_new,
+    load_unlisted,
     read_clean,
     read_raw,
     scan_text,
     write_clean,
 )
+from ..sources.markers import read_line, switch
 from ..spec import DatasetSpec
 from .data import CUSTOMERS, EVENTS, ORDERS, seconds, table
 
@@ -294,7 +306,7 @@ def export_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         _as_text(rows, ORDERS).select("line").write.mode("append").text(raw)
         prepare(spark, ORDERS, raw, checkpoint, clean_path)
         export_latest(spark, ORDERS, clean_path, out, date(2000, 1, 1))
-    return spark.read.parquet(out).select("o_orderkey", "o_totalprice", "o_orderstatus")
+    return latest(spark, ORDERS, out).select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
 QUERIES["export_latest"] = export_latest_query
@@ -302,6 +314,43 @@ ORACLES["export_latest"] = f"""
 SELECT o_orderkey, o_totalprice, {_MOVED} AS o_orderstatus FROM orders"""
 
 
+def export_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: a second export that is written and not yet switched to leaves the table as it
+    was; after the switch, keys that moved have left their old partitions. Folders that
+    no map names any more are deleted, and nothing else."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", seconds("o_orderdate"))
+    raw, checkpoint = scratch(spark, "orders-raw"), scratch(spark, "orders-loads")
+    clean_path, out = scratch(spark, "orders-clean"), scratch(spark, "orders-export")
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").withColumn("o_orderstatus", F.expr(_MOVED))
+    day, seen = date(2000, 1, 1), []
+    for rows in (orders, urgent):
+        _as_text(rows, ORDERS).select("line").write.mode("append").text(raw)
+        prepare(spark, ORDERS, raw, checkpoint, clean_path)
+        export = write_latest(spark, ORDERS, clean_path, out, day)
+        if seen:
+            seen.append(latest(spark, ORDERS, out).withColumn("seen", F.lit("written")))
+        switch_export(spark, out, export)
+        seen.append(latest(spark, ORDERS, out).withColumn("seen", F.lit(f"export {len(seen) // 2 + 1}")))
+    found = seen[0].unionByName(seen[1]).unionByName(seen[2])
+    counted = found.groupBy("seen", "o_orderstatus").agg(
+        F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+    counted = stored(counted, "snapshot-counts")
+    drop_old_exports(spark, out, timedelta(0))
+    return counted.withColumn("left_after", F.lit(latest(spark, ORDERS, out).count()).cast("long"))
+
+
+QUERIES["export_snapshot"] = export_snapshot
+ORACLES["export_snapshot"] = f"""
+WITH seen AS (
+    SELECT 'export 1' AS seen, o_orderstatus, o_orderkey, o_totalprice FROM orders
+    UNION ALL SELECT 'written', o_orderstatus, o_orderkey, o_totalprice FROM orders
+    UNION ALL SELECT 'export 2', {_MOVED}, o_orderkey, o_totalprice FROM orders)
+SELECT seen, o_orderstatus, count(*) AS n, count(DISTINCT o_orderkey) AS keys,
+       round(sum(o_totalprice), 2) AS total, (SELECT count(*) FROM orders) AS left_after
+FROM seen GROUP BY seen, o_orderstatus"""
+
+
 def load_by_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first drop's files are in the manifest; rows of later files come out."""
     events = table(spark, sf_dir, "events")
@@ -323,6 +372,81 @@ ORACLES["load_by_manifest"] = (
 )
 
 
+def load_unlisted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 by file: each drop is loaded by a list of the files loaded before, two files at
+    a time. A load whose end was lost is made again in its place; old files stay closed."""
+    events = table(spark, sf_dir, "events")
+    raw, manifest, out = (scratch(spark, f"events-{n}") for n in ("raw", "manifest", "clean"))
+    for kinds in _DROPS:
+        _drop(events.coalesce(3), kinds, raw)
+        load_unlisted(spark, raw, EVENTS, manifest, out, max_files=2)
+    switch(spark, f"{manifest}/_last", str(int(read_line(spark, f"{manifest}/_last")) - 1))
+    load_unlisted(spark, raw, EVENTS, manifest, out, max_files=2)
+    return read_clean(spark, EVENTS, out).filter("_status = 'kept'").select(*_event_columns())
+
+
+QUERIES["load_unlisted_files"] = load_unlisted_files
+ORACLES["load_unlisted_files"] = _EVENTS_SQL.format(more="")
+
+_QUOTED = replace(ORDERS, header=True)
+
+
+def raw_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a header line and quoted fields that hold the delimiter; a line that
+    does not parse comes back as it stands in the file."""
+    orders = table(spark, sf_dir, "orders")
+    when = F.when(_fault(0), "notatime").otherwise(seconds("o_orderdate"))
+    priority = F.concat(F.lit('"'), "o_orderpriority", F.lit('|"'))
+    line = F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("string"), when, priority)
+    line = F.when(_fault(1), F.concat(F.lit('"'), line)).when(_fault(2), F.substring_index(line, "|", 3)).otherwise(line)
+    path, head = scratch(spark, "orders-text"), "|".join(_QUOTED.columns)
+    for k in range(2):
+        body = orders.filter(F.col("o_orderkey") % 2 == k).select(line.alias("value"))
+        text = spark.createDataFrame([(head,)], "value string").union(body.coalesce(1)).coalesce(1)
+        text.write.mode("append").text(path)
+    return read_raw(spark, path, _QUOTED).select(
+        "o_orderkey", "o_orderpriority", F.col("_corrupt").alias("line")
+    )
+
+
+QUERIES["raw_scan_lines"] = raw_scan_lines
+ORACLES["raw_scan_lines"] = f"""
+WITH written AS (
+    SELECT *, concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           CASE WHEN {_fault_sql(0)} THEN 'notatime' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END,
+           '"' || o_orderpriority || '|"') AS whole
+    FROM orders)
+SELECT CASE WHEN NOT {_fault_sql(1)} THEN o_orderkey END AS o_orderkey,
+       CASE WHEN NOT {_fault_sql(1)} AND NOT {_fault_sql(2)} THEN o_orderpriority || '|' END AS o_orderpriority,
+       CASE WHEN {_fault_sql(0)} THEN whole WHEN {_fault_sql(1)} THEN '"' || whole
+            WHEN {_fault_sql(2)} THEN concat_ws('|', o_orderkey, o_custkey, o_orderstatus) END AS line
+FROM written"""
+
+
+def clean_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 on streams: the report of three micro-batches, counted while they were written;
+    the clean table is not read."""
+    orders, raw = dirty_orders(spark, sf_dir), scratch(spark, "orders-raw")
+    for k in range(3):
+        part = orders.filter(F.col("o_orderkey").cast("long") % 3 == k)
+        _as_text(part, ORDERS).select("line").coalesce(1).write.mode("append").text(raw)
+    rules = [f"cast:{c}" for c in ORDERS.columns] + [f"null:{c}" for c in ORDERS.required]
+    rules += ["corrupt", *[r.name for r in ORDERS.rules]]
+    tagged = tag(scan_text(spark, raw, ORDERS, stream=True, maxFilesPerTrigger=1), ORDERS)
+    query = (
+        observe_clean(tagged, "clean", rules).writeStream.format("parquet")
+        .option("path", scratch(spark, "orders-clean"))
+        .option("checkpointLocation", scratch(spark, "orders-loads"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return observed_report(spark, query.recentProgress, "clean")
+
+
+QUERIES["clean_report_stream"] = clean_report_stream
+ORACLES["clean_report_stream"] = ORACLES["clean_report"]
+
+
 def write_clean_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: all orders written by status, then one status written anew."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")

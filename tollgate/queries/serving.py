@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,11 +13,11 @@ from ..operators.clean import dedup_stream
 from ..operators.scaling import recent, scaling_signal
 from ..operators.train import fit
 from ..session import scratch, spread
-from ..sources.logs import STREAM_METRICS, log_progress, read_log
+from ..sources.logs import compact_load, log_progress, read_load
 from ..spec import schema_of
 from ..streaming.messages import MESSAGES, decode
 from ..streaming.scoring import route_messages, score_messages
-from ..streaming.telemetry import volume_by_window
+from ..streaming.telemetry import LoadLog, volume_by_window
 from .data import LINEITEM, LINEITEM_FEATURES, bayes_sql, seconds, table
 from .training import BAYES, NB_SCORES_SQL, returned_items
 
@@ -27,9 +30,11 @@ _EVENT_MESSAGE = schema_of(event_id="long", ts="timestamp", **_REST)
 _WIDE = "40 days"
 
 
-def _messages(spark: SparkSession, df: DataFrame, key: Column, value: Column, path: str) -> DataFrame:
+def _messages(
+    spark: SparkSession, df: DataFrame, key: Column, value: Column, path: str, spread_out: bool = True
+) -> DataFrame:
     """Rows stored as messages and read back as a stream."""
-    rows = spread(df).select(
+    rows = (spread(df) if spread_out else df).select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit("in").alias("topic"),
@@ -212,7 +217,7 @@ def stream_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     query, _ = _run(score_messages(stream, LINEITEM, model), spark)
     path = scratch(spark, "load-log")
     log_progress(spark, query.recentProgress, path)
-    return read_log(spark, path, STREAM_METRICS).select(
+    return read_load(spark, path).select(
         "batch_id", "n_in", "in_rate", "out_rate", "trigger_ms", "add_batch_ms"
     )
 
@@ -220,6 +225,83 @@ def stream_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["stream_performance"] = stream_performance
 
 
+def _scored_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as a stream of three files, one a batch, scored."""
+    items = returned_items(spark, sf_dir)
+    model = fit(items, LINEITEM, BAYES)
+    sent = items.select(*LINEITEM.columns)
+    path, key = scratch(spark, "messages"), F.col("l_orderkey").cast("string")
+    for group in range(3):
+        part = sent.filter(F.col("l_orderkey") % 3 == group).coalesce(1)
+        _messages(spark, part, key, _row_json(sent), path, spread_out=False)
+    stream = spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", 1).parquet(path)
+    return score_messages(stream, LINEITEM, model)
+
+
+def stream_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logged load of a scoring run, in what does not vary: rows a batch,
+    rates above zero, and no batch longer than its trigger. Each batch is logged twice, as
+    after a lost acknowledgement, and the days are compacted; it is read once."""
+    query, _ = _run(_scored_groups(spark, sf_dir), spark)
+    path = scratch(spark, "load-log")
+    for _ in range(2):
+        log_progress(spark, query.recentProgress, path)
+    compact_load(spark, path, date.today() + timedelta(days=2))
+    return read_load(spark, path).select(
+        "batch_id",
+        "n_in",
+        "n_late",
+        (F.col("out_rate") > 0).alias("measured"),
+        (F.col("add_batch_ms") <= F.col("trigger_ms")).alias("in_time"),
+        (F.count("*").over(Window.partitionBy("query_id")) == F.lit(3)).alias("complete"),
+    )
+
+
+QUERIES["stream_load_log"] = stream_load_log
+ORACLES["stream_load_log"] = """
+SELECT l_orderkey % 3 AS batch_id, count(*) AS n_in, CAST(0 AS BIGINT) AS n_late, TRUE AS measured,
+       TRUE AS in_time, TRUE AS complete
+FROM lineitem GROUP BY 1"""
+
+
+def idle_stream_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream gets the events and then nothing more. Its log, written by the
+    listener while it runs, says how many came and that the cluster may shrink."""
+    messages = scratch(spark, "messages")
+    stream = _event_stream(spark, table(spark, sf_dir, "events"), messages)
+    path, name = scratch(spark, "load-log"), f"idle_{uuid.uuid4().hex}"
+    log = LoadLog(spark, path, name=name, flush_seconds=1.0)
+    # a report from an idle stream every 200 ms instead of every ten seconds
+    asked = spark.conf.get(_IDLE_EVERY)
+    spark.conf.set(_IDLE_EVERY, "200")
+    spark.streams.addListener(log)
+    try:
+        query = (
+            stream.writeStream.format("parquet").queryName(name).trigger(processingTime="100 milliseconds")
+            .option("path", scratch(spark, "stream-out"))
+            .option("checkpointLocation", scratch(spark, "stream-checkpoint"))
+            .start()
+        )
+    finally:
+        spark.conf.set(_IDLE_EVERY, asked)
+    query.processAllAvailable()
+    log.wait(lambda: log.idle_triggers >= 6, seconds=120)
+    query.stop()
+    log.wait(lambda: log.closed, seconds=120)
+    signals = scaling_signal(read_load(spark, path))
+    last = F.max_by(F.struct("signal", "idle"), "seq").alias("last")
+    rows = signals.join(read_load(spark, path).select("ts", "batch_id", "n_in"), ["ts", "batch_id"])
+    return rows.groupBy("query_id").agg(F.sum("n_in").alias("n_in"), last).select(
+        "n_in", F.col("last.signal").alias("signal"), F.col("last.idle").alias("idle")
+    )
+
+
+_IDLE_EVERY = "spark.sql.streaming.noDataProgressEventInterval"
+QUERIES["idle_stream_signal"] = idle_stream_signal
+ORACLES["idle_stream_signal"] = """
+SELECT count(*) AS n_in, 'in' AS signal, TRUE AS idle FROM events"""
+
+
 def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load log made from the events: one query per event type, one batch per
     six hours. The mean value, of 89, stands for the share of the time in which the

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.ml import Pipeline
@@ -11,11 +12,20 @@ from pyspark.sql import functions as F
 
 from ..operators.features import class_weights, feature_stages, folds, split, with_label
 from ..operators.metrics import auc, metrics
-from ..operators.train import best_run, fit, retrain, score, score_models, search
+from ..operators.train import (
+    best_run,
+    fit,
+    positive_probability,
+    retrain,
+    score,
+    score_models,
+    search,
+)
 from ..session import scratch, spread
 from ..sources.files import write_clean
 from ..sources.logs import RUNS, read_log
 from ..sources.models import load_model, save_model
+from ..spec import schema_of
 from .data import (
     DOCUMENTS,
     DOCUMENTS_NEW,
@@ -30,6 +40,7 @@ from .data import (
     labelled_documents,
     percent_sql,
     table,
+    word_sql,
 )
 
 QUERIES = {}
@@ -69,6 +80,42 @@ SELECT doc_id, lang, y AS label,
 FROM f JOIN l USING (doc_id) JOIN share USING (lang)"""
 
 
+_HASHED = replace(
+    LINEITEM, name="merchants", schema=schema_of(l_suppkey="long", l_quantity="double"), derived={},
+    numeric=("l_quantity",), categorical=(), hashed=("l_suppkey",), hash_buckets=64,
+)
+
+
+def hashed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers, as merchants of any number, dealt out over 64 features, and the
+    chance of a return that naive Bayes gives an item of each at one quantity."""
+    items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag")
+    items = with_label(items, _HASHED)
+    model = fit(items, _HASHED, BAYES)
+    one = items.select("l_suppkey").distinct().withColumn("l_quantity", F.lit(1.0))
+    x = vector_to_array("features")
+    found = model.transform(one).withColumn("p", positive_probability())
+    return found.select(
+        "l_suppkey", (F.array_position(x, 1.0) - 1).alias("bucket"), F.array_size(x).alias("features"), F.round("p", 6).alias("p")
+    )
+
+
+QUERIES["hashed_features"] = hashed_features
+_BUCKET = f"{word_sql(chr(39) + 'l_suppkey=' + chr(39) + ' || l_suppkey', '0')} % 64"
+ORACLES["hashed_features"] = f"""
+WITH i AS (SELECT l_suppkey, {_BUCKET} AS bucket, l_quantity AS q,
+                  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem),
+c AS (SELECT y, count(*) AS n, sum(q) AS q FROM i GROUP BY y),
+b AS (SELECT bucket, count(*) FILTER (y = 1) AS n1, count(*) FILTER (y = 0) AS n0 FROM i GROUP BY bucket),
+t AS (SELECT max(n) FILTER (y = 1) AS n1, max(n) FILTER (y = 0) AS n0,
+             max(q) FILTER (y = 1) AS q1, max(q) FILTER (y = 0) AS q0 FROM c)
+SELECT DISTINCT l_suppkey, bucket, 65 AS features,
+       round(1e0 / (1e0 + exp(-(ln(t.n1 + 1e0) - ln(t.n0 + 1e0)
+           + ln(b.n1 + 1e0) - ln(t.n1 + t.q1 + 65) - ln(b.n0 + 1e0) + ln(t.n0 + t.q0 + 65)
+           + ln(t.q1 + 1e0) - ln(t.n1 + t.q1 + 65) - ln(t.q0 + 1e0) + ln(t.n0 + t.q0 + 65)))), 6) AS p
+FROM i JOIN b USING (bucket), t"""
+
+
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part, fold and class weight of the labelled documents."""
     df = with_label(labelled_documents(spark, sf_dir), DOCUMENTS)

@@ -10,11 +10,10 @@ from ..operators.registry import champion, read_registry, register
 from ..operators.validate import (
     ALPHA,
     REPLICATES,
-    bootstrap,
+    bootstrap_metric,
     common_replicates,
     distribution,
     promote,
-    replicate_metric,
     t_test,
 )
 from ..plans.validate import METRIC, one_model, registry_row
@@ -27,7 +26,7 @@ ORACLES = {}
 
 
 def _replicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replicate_metric(bootstrap(two_bayes_models(spark, sf_dir), ["doc_id"]))
+    return bootstrap_metric(two_bayes_models(spark, sf_dir), ["doc_id"])
 
 
 def bootstrap_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,3 +215,5 @@ def champion_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["champion_model"] = champion_model
 ORACLES["champion_model"] = f"""
 WITH {_REGISTRY_SQL} SELECT * FROM registry ORDER BY version DESC LIMIT 1"""
+
+

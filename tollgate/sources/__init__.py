@@ -8,11 +8,12 @@ from .files import (
     write_clean,
 )
 from .kafka import read_kafka, write_kafka
-from .logs import log_progress, log_run, read_log
+from .logs import compact_load, log_progress, log_run, read_load, read_log
 from .models import load_model, save_model
 
 __all__ = [
     "anti_manifest",
+    "compact_load",
     "load_model",
     "load_new",
     "log_progress",
@@ -20,6 +21,7 @@ __all__ = [
     "new_files",
     "read_clean",
     "read_kafka",
+    "read_load",
     "read_log",
     "read_raw",
     "save_model",

@@ -34,7 +34,9 @@ class DatasetSpec:
 
     ``derived`` maps a feature name to the SQL expression it is computed from and
     becomes part of the saved model. ``label_expr`` is kept apart from it because
-    a stream to be scored has no label.
+    a stream to be scored has no label. ``categorical`` columns have few values, of
+    which each gets a feature of its own; ``hashed`` ones may have any number, dealt out
+    over ``hash_buckets`` features.
     """
 
     name: str
@@ -55,6 +57,11 @@ class DatasetSpec:
     partition_cols: tuple[str, ...] = ()
     partition_exprs: Mapping[str, str] = field(default_factory=dict)
     delimiter: str = ","
+    quote: str = '"'
+    escape: str = "\\"
+    header: bool = False
+    hashed: tuple[str, ...] = ()
+    hash_buckets: int = 1024
 
     @property
     def columns(self) -> list[str]:
