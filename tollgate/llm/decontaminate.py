@@ -2,8 +2,9 @@
 
 Test items are indexed by their words. Every passage of every training document is a
 query: all items whose score reaches a share of what they score against themselves are
-retrieved, and an item counts as leaked if the passage then really holds the word
-5-grams of both its question and its answer.
+retrieved. A retrieved item counts as leaked if the passage really holds it: the word
+5-grams of both its question and its answer, or all of it, question and answer, but for
+a few words changed, left out or put in, which short items cannot show by 5-grams.
 
 Items are put in classes by length; a class's passages are twice as long as its longest
 item may be and overlap by half, so each item lies whole in some passage. Scores are
@@ -11,20 +12,29 @@ divided by the item's own, so one threshold serves all items. Items lie in at mo
 blocks. The block maxima of a passage's distinct terms, summed for many passages at
 once, bound what any item of a block can score; blocks that cannot reach the threshold
 are skipped, and WAND walks the posting lists of the others.
+
+Document frequencies and the mean length are those of all items, counted by Spark, so
+no score depends on which items share an index. Indexes are built in tasks, a bounded
+size of items each, and stored; the driver holds one at a time on its way to the tasks.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import InitVar, dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import MARKS, Hasher, hashed, rows_of, slices
+from tollgate.session import stored
+
+from .text import MARKS, Hasher, hashed, rows_of, signed, slices
 
 K1, B = 1.2, 0.75
 #: An item is retrieved at this share of its score against itself.
@@ -32,6 +42,9 @@ THRESHOLD = 0.5
 #: Shares of the 5-grams found: of the whole item, and of its question and its answer.
 OVERLAP, PART_OVERLAP = 0.8, 0.5
 GRAM = 5
+#: Words changed, left out or put in, as shares: of the whole item, and of its question
+#: and its answer.
+EDITS, PART_EDITS = 0.15, 0.5
 #: Longest item of the first class, in words; each further class has twice that.
 SHORTEST_CLASS = 64
 #: Blocks of items, at most.
@@ -52,6 +65,29 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def edits(item: np.ndarray, words: np.ndarray) -> int:
+    """Fewest words to change, leave out or put in to find the item in the passage.
+
+    One step a word of the passage: bits hold how the column of distances rises and falls
+    along the item.
+    """
+    n, places = len(item), {}
+    for i, word in enumerate(item.tolist()):
+        places[word] = places.get(word, 0) | 1 << i
+    every, last = (1 << n) - 1, 1 << n >> 1
+    up, down, distance, best = every, 0, n, n
+    for word in words.tolist():
+        same = places.get(word, 0)
+        flat = same | down
+        along = ((same & up) + up ^ up) | same
+        rise, fall = (down | ~(along | up)) & every, up & along
+        distance += bool(rise & last) - bool(fall & last)
+        best = min(best, distance)
+        rise, fall = rise << 1 & every, fall << 1 & every
+        up, down = (fall | ~(flat | rise)) & every, rise & flat
+    return best
+
+
 def parts(text: str) -> tuple[str, str]:
     """Question and answer: cut after the last question mark that has words on both
     sides, or else in the middle."""
@@ -77,17 +113,19 @@ class Index:
     whole: list[np.ndarray]
     question: list[np.ndarray]
     answer: list[np.ndarray]
+    counts: InitVar[dict]  # items that hold a word, of all items
+    number: InitVar[int]  # all items
+    mean: InitVar[float]  # their mean length
     terms: np.ndarray = field(init=False)
     maxima: np.ndarray = field(init=False)  # terms x blocks
 
-    def __post_init__(self) -> None:
+    def __post_init__(self, counts: dict, number: int, mean: float) -> None:
         n = len(self.items)
         counted = [np.unique(w, return_counts=True) for w in self.whole]
         self.terms = np.unique(np.concatenate([t for t, _ in counted]))
         at = [np.searchsorted(self.terms, t) for t, _ in counted]
-        df = np.bincount(np.concatenate(at), minlength=len(self.terms))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        mean = np.mean([len(w) for w in self.whole])
+        df = np.array([counts[t] for t in self.terms.tolist()], dtype=np.float64)
+        idf = np.log(1 + (number - df + 0.5) / (df + 0.5))
         width = -(-n // BLOCKS)
         self.first = list(range(0, n, width)) + [n]
         self.maxima = np.zeros((len(self.terms), len(self.first) - 1), dtype=np.float32)
@@ -178,8 +216,10 @@ class Index:
                 for item, score in self.retrieve(block, term[heads[k] : ends[k]].tolist(), least):
                     d = int(np.searchsorted(bases, p, side="right")) - 1
                     first = int(starts[p])
-                    shares = self._shares(words[first : min(first + 2 * self.longest, offsets[d + 1])], item)
-                    if shares[0] >= OVERLAP and min(shares[1:]) >= PART_OVERLAP:
+                    passage_words = words[first : min(first + 2 * self.longest, offsets[d + 1])]
+                    shares = self._shares(passage_words, item)
+                    whole = shares[0] >= OVERLAP and min(shares[1:]) >= PART_OVERLAP
+                    if whole or self._edited(passage_words, item):
                         yield d, item, first - int(offsets[d]), score, *shares
 
     def _shares(self, words: np.ndarray, item: int) -> list[float]:
@@ -191,8 +231,15 @@ class Index:
             out.append(float(np.isin(own, held).mean()) if len(own) else 1.0)
         return out
 
+    def _edited(self, words: np.ndarray, item: int) -> bool:
+        """Whether a passage holds the item but for a few words."""
+        whole, least = self.whole[item], 1 - EDITS
+        if np.isin(whole, words).mean() < least or edits(whole, words) > EDITS * len(whole):
+            return False
+        return all(edits(p, words) <= PART_EDITS * len(p) for p in (self.question[item], self.answer[item]))
+
 
-def build(items: list[tuple[int, str | None]]) -> list[Index]:
+def build(items: list[tuple[int, str | None]], counts: dict, number: int, mean: float) -> list[Index]:
     """One index for each class of lengths; items without words are in none."""
     classes: dict[int, list] = {}
     for item, text in sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")):
@@ -203,26 +250,58 @@ def build(items: list[tuple[int, str | None]]) -> list[Index]:
                 longest *= 2
             first, second = (_words(p) for p in parts(text))
             classes.setdefault(longest, []).append((item, whole, first, second))
-    return [Index(n, *map(list, zip(*rows, strict=True))) for n, rows in sorted(classes.items())]
+    known = (counts, number, mean)
+    return [Index(n, *map(list, zip(*rows, strict=True)), *known) for n, rows in sorted(classes.items())]
 
 
-def _indexes(items: DataFrame) -> list[list[Index]]:
-    """Indexes of bounded size over all of ``items`` (item_id, text)."""
-    items = items.select("item_id", "text")
+def _indexes(items: DataFrame) -> Iterator[Broadcast]:
+    """Indexes of bounded size over all of ``items`` (item_id, text), one at a time."""
+    spark = items.sparkSession
+    whole = isinstance(items.schema["item_id"].dataType, T.IntegralType)
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = int(size // INDEX_BYTES) + 1
-    at = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    built = (build([tuple(r) for r in items.where(at == k).collect()]) for k in range(shards))
-    return [b for b in built if b]
-
-
-def _of_batch(texts: list[bytes], indexes: list[Index]) -> list[list[tuple]]:
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(int(size // INDEX_BYTES) + 1))
+    items = stored(items.withColumn("shard", shard), "leak-items")
+
+    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = [_words(t or "") for t in batch.column("text").to_pylist()]
+            own = [np.unique(w) for w in words]
+            at = np.repeat(np.arange(len(own)), [len(w) for w in own])
+            terms = pa.array(signed(np.concatenate(own)))
+            lengths = pa.array(np.array([len(w) for w in words], dtype=np.int64)).take(pa.array(at))
+            first = pa.array(np.diff(at, prepend=-1) > 0)
+            shards = batch.column("shard").take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([shards, terms, lengths, first], ["shard", "term", "size", "first"])
+
+    held = stored(items.mapInArrow(distinct_words, "shard long, term long, size long, first boolean"), "leak-words")
+    total = held.where("first").agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
+    if not total["n"]:
+        return
+    number, mean = total["n"], total["size"] / total["n"]
+    frequency = held.groupBy("term").agg(F.count("*").alias("df"))
+    needed = held.select(F.col("shard").alias("of"), "term").distinct().join(frequency, "term")
+
+    def index(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        counts = dict(zip(known["term"].to_numpy().view(np.uint64).tolist(), known["df"].tolist(), strict=True))
+        chosen = [(int(i) if whole and i is not None else i, t) for i, t in zip(rows["item_id"], rows["text"], strict=True)]
+        built = build(chosen, counts, number, mean) if len(rows) else []
+        out = [(int(rows["shard"].iloc[0]), pickle.dumps(built))] if built else []
+        return pd.DataFrame(out, columns=["shard", "index"])
+
+    made = items.groupBy("shard").cogroup(needed.groupBy("of")).applyInPandas(index, "shard long, index binary")
+    made = stored(made, "leak-indexes")
+    for (number_of,) in made.select("shard").orderBy("shard").collect():  # a number for each INDEX_BYTES
+        yield spark.sparkContext.broadcast(pickle.loads(made.where(F.col("shard") == number_of).first()["index"]))
+
+
+def _of_batch(texts: list[bytes], indexes: Broadcast) -> list[list[tuple]]:
     """Leaks of each text: item, start, score, overlap, question, answer. Of several
     passages with the same item, the best-scored and then the first one."""
     lower = [x.lower() if x.isascii() else x.decode("utf-8", "replace").lower().encode() for x in texts]
     found: list[dict] = [{} for _ in texts]
     for first, (words,), offsets in hashed(lower, [_HASHER], MARKS):
-        for index in indexes:
+        for index in indexes.value:
             for d, item, *row in index.leaks(words, offsets):
                 best, own = found[first + d], index.items[item]
                 if own not in best or row[1] > best[own][1]:
