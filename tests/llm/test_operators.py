@@ -1,13 +1,16 @@
 """The operators on odd rows (nulls, empty and long texts, ties, repeats, no rows, clashing
 columns), their queries against SQL or plain versions, and the pipeline."""
 
+import math
 import random
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tollgate.llm import ORACLES, QUERIES, ann, decontaminate, langid, mix, neardup, quality, substrings, toxicity, urls
 
@@ -137,6 +140,47 @@ def test_near_copies_in_a_large_group_are_all_linked(spark):
     assert [got[i]["component_id"] for i in range(len(rows))] == root
 
 
+def template(n, own, seed, groups=1):
+    """Texts that share most words, with ``own`` words of their own among 150; and with
+    ``groups`` near copies of each."""
+    rng, base = np.random.default_rng(seed), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.choice(150, own, replace=False):
+            words[k] = f"x{i}-{k}"
+        for g in range(groups):
+            copy = list(words)
+            for k in rng.choice(150, 3 * (g > 0), replace=False):
+                copy[k] = f"y{i}-{g}-{k}"
+            rows.append((i * groups + g, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("few", [2, 32])
+def test_a_template_below_the_threshold_loses_no_link(spark, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "COUNTERS", 64)
+    rows = template(70, 12, 3, groups=2) + [(1000 + i, t) for i, t in template(20, 8, 4)]
+    sets = [set(zip(t.split(), t.split()[1:], strict=False)) for _, t in rows]
+    root = {i: i for i, _ in rows}
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = root[rows[a][0]], root[rows[b][0]]
+                root = {i: min(x, y) if r in (x, y) else r for i, r in root.items()}
+    got = rows_by_id(neardup.link(spark.createDataFrame(rows, "doc_id long, text string"), size=2))
+    assert {i: r["component_id"] for i, r in got.items()} == root
+    assert 70 <= len(set(root.values())) < len(rows)
+
+
+def test_rare_pairs_of_a_template_are_few(spark):
+    docs = spark.createDataFrame(template(400, 20, 5, groups=2), "doc_id long, text string")
+    members = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part"))
+    pairs = {tuple(r) for r in neardup.rare_pairs(docs, members, 2, 80).collect()}
+    assert {(2 * i, 2 * i + 1) for i in range(400)} <= pairs and len(pairs) < 4 * 400
+
+
 def test_language(docs, none):
     model = langid.train(docs)
     got = rows_by_id(langid.identify(docs, model))
@@ -288,6 +332,74 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.leaks(none, items).count() == 0
 
 
+def plain_leaks(docs, items):
+    """What `leaks` gives, from its definitions: BM25 shares by dicts, 5-grams by sets."""
+    words_of = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
+    known = {(i, t): words_of(t) for i, t in items}
+    known = {k: w for k, w in known.items() if w}
+    df, mean = Counter(w for ws in known.values() for w in set(ws)), np.mean([len(w) for w in known.values()])
+
+    def own(ws):
+        norm = 1.2 * (0.25 + 0.75 * len(ws) / mean)
+        part = {w: math.log(1 + (len(known) - df[w] + 0.5) / (df[w] + 0.5)) * n * 2.2 / (n + norm) for w, n in Counter(ws).items()}
+        return {w: x / sum(part.values()) for w, x in part.items()}
+
+    def share(part, passage):
+        n = min(5, len(part))
+        grams = lambda ws: {tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)}
+        return len(grams(part) & grams(passage)) / len(grams(part)) if part else 1.0
+
+    def changed(part, passage):
+        row = [0] * (len(passage) + 1)
+        for i, w in enumerate(part, 1):
+            new = [i]
+            for j, v in enumerate(passage, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (w != v)))
+            row = new
+        return min(row)
+
+    weights, out = {k: own(w) for k, w in known.items()}, set()
+    for doc, text in docs:
+        words, best = words_of(text), {}
+        for (item, body), whole in known.items():
+            if not set(whole) & set(words):
+                continue
+            size = 64
+            while size < len(whole):
+                size *= 2
+            first, second = (words_of(p) for p in decontaminate.parts(body))
+            for start in range(0, max(len(words) - size, 1), size):
+                passage = words[start : start + 2 * size]
+                score = sum(weights[item, body].get(w, 0) for w in set(passage))
+                if score < 0.5 - 1e-6:
+                    continue
+                shares = [share(p, passage) for p in (whole, first, second)]
+                held = shares[0] >= 0.8 and min(shares[1:]) >= 0.5
+                edited = changed(whole, passage) <= 0.15 * len(whole) and all(changed(p, passage) <= 0.5 * len(p) for p in (first, second))
+                if (held or edited) and (item not in best or score > best[item][1] + 1e-9):
+                    best[item] = (start, score, *shares)
+        out |= {(doc, item, row[0], round(row[1], 6), *(round(x, 9) for x in row[2:])) for item, row in best.items()}
+    return out
+
+
+@pytest.mark.parametrize("index_bytes", [16 << 20, 2000])
+def test_leaks_are_those_of_the_definitions(spark, monkeypatch, index_bytes):
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", index_bytes)
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    rng = random.Random(9)
+    for i, (_, text) in enumerate(items[:25]):  # one word changed
+        words = text.split()
+        words[rng.randrange(len(words))] = "otherwise"
+        docs.append((10_000 + i, f"{docs[i][1]} {' '.join(words)} {docs[i + 1][1][:2000]}"))
+    docs = [d for d in docs if len(d[1] or "") < 20_000]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.leaks(frame, spark.createDataFrame([*items, items[0]], "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"], r["start"], round(r["score"], 6), *(round(r[c], 9) for c in ("overlap", "question", "answer"))) for r in got}
+    assert got == plain_leaks(docs, items)
+    assert {10_000 + i for i in range(25)} <= {r[0] for r in got}
+
+
 def test_given_benchmark_passages_are_found(spark):
     plain = lambda s: " ".join(s.split())
     items = [plain(r[0]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("text").collect()]

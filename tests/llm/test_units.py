@@ -97,6 +97,49 @@ def test_trie_finds_what_edit_distance_finds():
         assert got == ((min(near)[0], min(near)[2]) if near else None), word
 
 
+def test_many_words_match_as_each_one_against_plain_edit_distance():
+    rng, letters = random.Random(3), "abcdeéнt"
+    word = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    entries = [word(rng.randint(2, 24)) for _ in range(60)] + ["stup*", "abcd*"]
+    weights = {e: rng.choice([2.0, 3.0, 4.0]) for e in entries}
+    lexicon = toxicity.Lexicon(weights, frozenset({"abce"}))
+    words = {word(rng.randint(1, 26)) for _ in range(2000)} | {"abcé", "abce", "stupid", "x" * 100_000}
+    for _ in range(8000):  # entries with letters changed, left out and put in
+        w = list(rng.choice(entries).rstrip("*"))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(w)) if w else 0
+            w[k : k + rng.randint(0, 1)] = rng.choice([[], [rng.choice(letters)]])
+        words.add("".join(w) or "x")
+    assert len(words) > 6000
+    got = lexicon.matches(words)
+    for w in words:
+        want = None
+        stems = [(weights[f"{w[:n]}*"], -n) for n in toxicity.STEMS if len(w) >= n and f"{w[:n]}*" in weights]
+        if w in weights:
+            want = "exact", w, weights[w]
+        elif stems:
+            want = "stem", w[: -max(stems)[1]], max(stems)[0]
+        elif w != "abce":
+            near = [
+                (d, -weights[e], e) for e in entries
+                if not e.endswith("*") and abs(len(e) - len(w)) <= 2
+                and (d := distance(w, e)) <= min(toxicity.edits(len(w)), toxicity.edits(len(e)))
+            ]
+            want = ("misspelled", min(near)[2], -min(near)[1] / (1 + min(near)[0])) if near else None
+        assert got.get(w) == want, w
+    assert {kind for kind, _, _ in got.values()} == {"exact", "stem", "misspelled"}
+
+
+def test_what_is_forgotten_is_matched_again(monkeypatch):
+    lexicon = toxicity.Lexicon({"moron": 3.0, "idiot": 4.0})
+    texts = [f"what a mor{c}n and id{c}ot w{i}{c} you idiot" for i in range(30) for c in "aeiou"]
+    want = [toxicity.Scanner(lexicon).features(t) for t in texts]
+    for memory, together in ((5, 10), (3, 1000), (1, 1)):
+        monkeypatch.setattr(toxicity, "MEMORY", memory)
+        monkeypatch.setattr(toxicity, "TOGETHER", together)
+        assert list(toxicity.Scanner(lexicon).features_of(texts * 2)) == want * 2
+
+
 def test_words_that_a_stem_covers_are_found_misspelled():
     entries = ["stupid", "stup*", "stupid*", "disgusting", "disg*"]
     lexicon = toxicity.Lexicon(dict.fromkeys(entries, 3.0))
@@ -124,6 +167,45 @@ def test_quotation_is_kept_apart():
     assert of("") == dict.fromkeys(toxicity.FEATURES, 0.0)
 
 
+def test_edits_against_plain_edit_distance():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        item = rng.integers(0, 6, rng.integers(1, 12)).astype(np.uint64)
+        words = rng.integers(0, 6, rng.integers(0, 25)).astype(np.uint64)
+        spans = [words[a:b].tolist() for a in range(len(words) + 1) for b in range(a, len(words) + 1)]
+        assert decontaminate.edits(item, words) == min(distance(item.tolist(), s) for s in spans)
+
+
+@pytest.mark.parametrize("size", [7, 12, 15, 18, 21, 25, 28, 30, 57])
+def test_an_item_with_one_word_changed_is_found_at_every_length(size):
+    rng = random.Random(size)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=size))) for i in range(40)]
+    indexes, found = decontaminate.build(items), 0
+    for item, text in items:
+        for change in ("put", "drop", "add"):
+            words = text.split()
+            k = rng.randrange(size)
+            words[k : k + (change != "add")] = [] if change == "drop" else ["other"]
+            doc = " ".join([*rng.choices(vocabulary, k=rng.randint(0, 300)), *words, *rng.choices(vocabulary, k=50)])
+            found += item in {row[0] for row in decontaminate._of_batch([doc.encode()], indexes)[0]}
+    assert found == 3 * len(items)
+
+
+def test_passages_that_share_words_with_items_stay():
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(15, 40)))) for i in range(60)]
+    indexes = decontaminate.build(items)
+    for _, text in items:
+        words = text.split()
+        half, other = words[: len(words) // 2], rng.choices(vocabulary, k=200)
+        shuffled = rng.sample(words, len(words))
+        third = [w if i % 3 else "other" for i, w in enumerate(words)]
+        docs = [" ".join(x).encode() for x in (half + other, other + shuffled, third + other, words[2 * len(words) // 5 :])]
+        assert decontaminate._of_batch(docs, indexes) == [[], [], [], []]
+
+
 def test_retrieval_is_whole():
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(300)]
@@ -168,6 +250,32 @@ def test_hamming_search_is_whole():
             assert index.within(q, radius).tolist() == np.flatnonzero(apart <= radius).tolist()
 
 
+@pytest.mark.parametrize("bits", [8, 9, 13, 16])
+def test_hamming_search_is_whole_for_substrings_of_any_length(bits):
+    rng = np.random.default_rng(bits)
+    signs = rng.integers(0, 2, (400, 128 // bits * bits), dtype=np.uint8)
+    signs[200:] = signs[0] ^ (rng.random((200, signs.shape[1])) < 0.1)
+    codes = np.packbits(signs, axis=1)
+    index = ann.Index(codes, bits)
+    for radius in (0, 5, 13, 31, 60, 128):
+        for q in codes[[0, 1, 300]]:
+            apart = np.bitwise_count(codes ^ q).sum(axis=1)
+            assert index.within(q, radius).tolist() == np.flatnonzero(apart <= radius).tolist()
+
+
+def test_clustered_vectors_are_found_by_probing_few():
+    rng = np.random.default_rng(11)
+    x = np.repeat(rng.normal(size=(400, 64)), 40, axis=0) + 0.1 * rng.normal(size=(16_000, 64))
+    coder = ann.learn(x[rng.permutation(len(x))[:4096]], 20, len(x))
+    codes, found, asked = coder.codes(x), 0, range(0, len(x), 100)
+    index = ann.Index(codes, coder.bits)
+    for i in asked:
+        at = index.within(codes[i], coder.radius)
+        near = np.argsort(-(x @ x[i]), kind="stable")[:21]
+        found += len(set(near.tolist()) & set(at.tolist()))
+    assert index.probed < 0.1 * len(x) * len(asked) and found >= 0.95 * 21 * len(asked)
+
+
 def test_parse_follows_the_furthest_reference():
     ranges = [(0, 20, 5, 100), (1, 21, 5, 101), (2, 22, 5, 102), (10, 40, 7, 0), (60, 80, 5, 3)]
     assert substrings.parse(ranges) == [(0, 22, 5, 100), (22, 18, 7, 12), (60, 20, 5, 3)]
