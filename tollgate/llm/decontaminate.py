@@ -21,6 +21,7 @@ size of items each, and stored; the driver holds one at a time on its way to the
 from __future__ import annotations
 
 import pickle
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import InitVar, dataclass, field
 
@@ -239,8 +240,14 @@ class Index:
         return all(edits(p, words) <= PART_EDITS * len(p) for p in (self.question[item], self.answer[item]))
 
 
-def build(items: list[tuple[int, str | None]], counts: dict, number: int, mean: float) -> list[Index]:
-    """One index for each class of lengths; items without words are in none."""
+def build(
+    items: list[tuple[int, str | None]], counts: dict | None = None, number: int = 0, mean: float = 0.0
+) -> list[Index]:
+    """One index for each class of lengths; items without words are in none.
+
+    ``counts`` says how many of ``number`` items, of ``mean`` length, hold a word; None
+    takes ``items`` for all there are.
+    """
     classes: dict[int, list] = {}
     for item, text in sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")):
         whole = _words(text or "")
@@ -250,6 +257,10 @@ def build(items: list[tuple[int, str | None]], counts: dict, number: int, mean:
                 longest *= 2
             first, second = (_words(p) for p in parts(text))
             classes.setdefault(longest, []).append((item, whole, first, second))
+    if counts is None:
+        own = [whole for rows in classes.values() for _, whole, _, _ in rows]
+        counts = Counter(w for words in own for w in np.unique(words).tolist())
+        number, mean = len(own), sum(map(len, own)) / max(1, len(own))
     known = (counts, number, mean)
     return [Index(n, *map(list, zip(*rows, strict=True)), *known) for n, rows in sorted(classes.items())]
 
@@ -295,13 +306,13 @@ def _indexes(items: DataFrame) -> Iterator[Broadcast]:
         yield spark.sparkContext.broadcast(pickle.loads(made.where(F.col("shard") == number_of).first()["index"]))
 
 
-def _of_batch(texts: list[bytes], indexes: Broadcast) -> list[list[tuple]]:
+def _of_batch(texts: list[bytes], indexes: list[Index]) -> list[list[tuple]]:
     """Leaks of each text: item, start, score, overlap, question, answer. Of several
     passages with the same item, the best-scored and then the first one."""
     lower = [x.lower() if x.isascii() else x.decode("utf-8", "replace").lower().encode() for x in texts]
     found: list[dict] = [{} for _ in texts]
     for first, (words,), offsets in hashed(lower, [_HASHER], MARKS):
-        for index in indexes.value:
+        for index in indexes:
             for d, item, *row in index.leaks(words, offsets):
                 best, own = found[first + d], index.items[item]
                 if own not in best or row[1] > best[own][1]:
@@ -330,7 +341,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def search(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                got = _of_batch(rows_of(batch.column("text")), indexes)
+                got = _of_batch(rows_of(batch.column("text")), indexes.value)
                 at = pa.array([i for i, rows in enumerate(got) for _ in rows], pa.int64())
                 flat = [r for rows in got for r in rows]
                 kinds = (arrow, pa.int64(), *[pa.float64()] * 4)
@@ -347,7 +358,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def keep(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                got = _of_batch(rows_of(batch.column("text")), indexes)
+                got = _of_batch(rows_of(batch.column("text")), indexes.value)
                 yield batch.filter(pa.array([not rows for rows in got], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
