@@ -13,7 +13,10 @@ never discards a link. What is left is confirmed on the full sets.
 A bucket of n classes never gives its n * n pairs. First each member meets only the
 bucket's smallest id, and confirmed links make components. Then only members of one
 bucket that are in different components meet, so a large group of near copies costs
-one pair a member, while no pair that could join two components goes untested.
+one pair a member, while no pair that could join two components goes untested. A bucket
+of more than FEW members that is still split, such as pages of one template with bodies
+of their own, is not paired: its members meet only where the rarest shingles of both
+hold a common one, as many of them as a linked pair cannot do without.
 """
 
 from __future__ import annotations
@@ -40,6 +43,11 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS, MOST_BITS = 1024, 160
 #: Bits of the parity bitmap of a full set.
 PARITY_BITS = 2048
+#: Members of a split bucket that are paired with one another.
+FEW = 32
+#: Counters of shingles, by hash; they order shingles by how rare they are. Shingles that
+#: share one change the order, not the result.
+COUNTERS = 1 << 20
 
 _U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -197,6 +205,55 @@ def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     return stored(both.where(100 * inter >= percent * union).select("a", "b").distinct(), "near-confirmed")
 
 
+def rare_pairs(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
+    """a, b: pairs of ``members`` (id, part) of different parts that may be linked, none missed.
+
+    Two sets that share ``percent`` of their union share one of the first shingles of
+    both in any one order of all shingles, if as many are taken as may lack in the
+    other and one more. The order is from rare to frequent, by counters of bounded number.
+    """
+    sets, number = full_sets(docs, members.select("id"), size), COUNTERS
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            values = batch.column("set").flatten().to_numpy(zero_copy_only=False)
+            at, n = np.unique(_counter(values, number), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"at": at, "n": n})
+
+    found = sets.mapInArrow(counted, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counters = np.zeros(number, dtype=np.int64)
+    counters[found["at"].to_numpy()] = found["n"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids, out = batch.column("id").to_pylist(), []
+            for own in batch.column("set"):
+                own = own.values.to_numpy(zero_copy_only=False)
+                lacking = len(own) - -(-percent * len(own) // 100)
+                order = np.lexsort((own, shared.value[_counter(own, number)]))
+                out.append(own[order[: lacking + 1]])
+            n = [len(x) for x in out]
+            sizes = batch.column("set").value_lengths().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_pydict(
+                {"id": np.repeat(np.array(ids, dtype=np.int64), n), "n": np.repeat(sizes.astype(np.int64), n),
+                 "token": np.concatenate(out) if out else np.zeros(0, np.int64)}
+            )
+
+    heads = sets.mapInArrow(rarest, "id long, n long, token long").join(members, "id")
+    # a shingle that only one part's members begin with makes no pair
+    sides = heads.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    heads = stored(heads.join(sides.where("low <> high").select("token"), "token", "left_semi"), "near-heads")
+    x, y = heads.alias("x"), heads.alias("y")
+    sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") < F.col("y.part")) & sizes
+    return x.join(y, same).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _counter(values: np.ndarray, number: int) -> np.ndarray:
+    return (mixed(values.view(np.uint64)) % _U(number)).astype(np.int64)
+
+
 def link(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text).
 
@@ -229,14 +286,25 @@ def link(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     parts = components(first)
 
     placed = shared.join(parts, "id", "left").select("key", "id", F.coalesce("component", "id").alias("part"))
-    split = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    mixed_up = placed.join(split.where("low <> high").select("key"), "key", "left_semi")
-    sided = stored(mixed_up.join(sketches, "id"), "near-sides")
+    split = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size"))
+    split = split.where("low <> high").select("key", (F.col("size") <= FEW).alias("few"))
+    mixed_up = stored(placed.join(split, "key"), "near-split")
+    sided = stored(mixed_up.where("few").join(sketches, "id"), "near-sides")
     x, y = sided.alias("x"), sided.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part"))
     across = x.join(y, apart & _may_link("x", "y", percent)).select(
         F.col("x.id").alias("a"), F.col("y.id").alias("b")
     )
+    many = stored(mixed_up.where("NOT few").select("id", "part").distinct(), "near-many")
+    if not many.isEmpty():
+        far = (
+            rare_pairs(docs, many, size, percent)
+            .join(sketches.alias("x"), F.col("a") == F.col("x.id"))
+            .join(sketches.alias("y"), F.col("b") == F.col("y.id"))
+            .where(_may_link("x", "y", percent))
+            .select("a", "b")
+        )
+        across = across.unionByName(far)
     second = confirmed(docs, across, size, percent)
 
     def part_of(links: DataFrame, column: str) -> DataFrame:
