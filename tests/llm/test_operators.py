@@ -10,7 +10,6 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tollgate.llm import ORACLES, QUERIES, ann, decontaminate, langid, mix, neardup, quality, substrings, toxicity, urls
 
@@ -140,47 +139,6 @@ def test_near_copies_in_a_large_group_are_all_linked(spark):
     assert [got[i]["component_id"] for i in range(len(rows))] == root
 
 
-def template(n, own, seed, groups=1):
-    """Texts that share most words, with ``own`` words of their own among 150; and with
-    ``groups`` near copies of each."""
-    rng, base = np.random.default_rng(seed), [f"w{i}" for i in range(150)]
-    rows = []
-    for i in range(n):
-        words = list(base)
-        for k in rng.choice(150, own, replace=False):
-            words[k] = f"x{i}-{k}"
-        for g in range(groups):
-            copy = list(words)
-            for k in rng.choice(150, 3 * (g > 0), replace=False):
-                copy[k] = f"y{i}-{g}-{k}"
-            rows.append((i * groups + g, " ".join(copy)))
-    return rows
-
-
-@pytest.mark.parametrize("few", [2, 32])
-def test_a_template_below_the_threshold_loses_no_link(spark, monkeypatch, few):
-    monkeypatch.setattr(neardup, "FEW", few)
-    monkeypatch.setattr(neardup, "COUNTERS", 64)
-    rows = template(70, 12, 3, groups=2) + [(1000 + i, t) for i, t in template(20, 8, 4)]
-    sets = [set(zip(t.split(), t.split()[1:], strict=False)) for _, t in rows]
-    root = {i: i for i, _ in rows}
-    for a in range(len(rows)):
-        for b in range(a):
-            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
-                x, y = root[rows[a][0]], root[rows[b][0]]
-                root = {i: min(x, y) if r in (x, y) else r for i, r in root.items()}
-    got = rows_by_id(neardup.link(spark.createDataFrame(rows, "doc_id long, text string"), size=2))
-    assert {i: r["component_id"] for i, r in got.items()} == root
-    assert 70 <= len(set(root.values())) < len(rows)
-
-
-def test_rare_pairs_of_a_template_are_few(spark):
-    docs = spark.createDataFrame(template(400, 20, 5, groups=2), "doc_id long, text string")
-    members = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part"))
-    pairs = {tuple(r) for r in neardup.rare_pairs(docs, members, 2, 80).collect()}
-    assert {(2 * i, 2 * i + 1) for i in range(400)} <= pairs and len(pairs) < 4 * 400
-
-
 def test_language(docs, none):
     model = langid.train(docs)
     got = rows_by_id(langid.identify(docs, model))

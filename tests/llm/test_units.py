@@ -240,6 +240,19 @@ def test_leaks_are_found_anywhere():
     assert [[x[0] for x in rows] for rows in got] == [[i] for i in want] + [[], [], []]
 
 
+@pytest.mark.parametrize("large", [10**6, 3 * 10**9, 10**14])
+def test_a_tree_over_any_number_of_blocks(large):
+    quotas = np.array([large, 7, large // 3, 0, 5 * large], dtype=np.int64)
+    total = int(quotas.sum())
+    shards = np.full(8, total // 8, dtype=np.int64)
+    shards[: total % 8] += 1
+    got = mix.tree(quotas, shards, [1, 2])
+    assert (got.sum(axis=0) == quotas).all() and (got.sum(axis=1) == shards).all() and (got >= 0).all()
+    assert (mix.tree(quotas, shards, [1, 2]) == got).all()
+    wanted = quotas[0] / 8
+    assert np.abs(got[:, 0] - wanted).max() < 8 * np.sqrt(wanted)
+
+
 def test_hamming_search_is_whole():
     rng = np.random.default_rng(4)
     codes = rng.integers(0, 256, (500, 16), dtype=np.uint8)

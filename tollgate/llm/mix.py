@@ -18,6 +18,8 @@ gives the same mix.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +33,8 @@ BITS = 12
 #: Groups of sources whose quotas the driver splits.
 GROUPS = 1024
 MOST_COPIES = 3
+#: numpy draws from fewer blocks than these.
+MOST_DRAWN = 10**9
 
 
 def n_words(text: Column) -> Column:
@@ -42,6 +46,27 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
 
 
+def _drawn(rng: np.random.Generator, quotas: np.ndarray, n: int) -> np.ndarray:
+    """``n`` blocks drawn from the quotas of the sources.
+
+    Populations beyond what numpy draws from exactly are drawn from the normal limit of
+    the same mean and spread, source by source; nothing is lost or drawn twice.
+    """
+    total, out = int(quotas.sum()), np.zeros_like(quotas)
+    if total < MOST_DRAWN:
+        return rng.multivariate_hypergeometric(quotas, n, method="marginals")
+    for i, own in enumerate(quotas.tolist()):
+        rest = total - own
+        if total < MOST_DRAWN:
+            got = int(rng.hypergeometric(own, rest, n)) if total else 0
+        else:
+            share = own / total
+            spread = math.sqrt(n * share * (1 - share) * ((total - n) / (total - 1)))
+            got = min(max(round(rng.normal(n * share, spread)), n - rest, 0), own, n)
+        out[i], n, total = got, n - got, rest
+    return out
+
+
 def tree(quotas: np.ndarray, shards: np.ndarray, seed: list[int]) -> np.ndarray:
     """Quotas split among shards of the given capacities: one row per shard.
 
@@ -52,7 +77,7 @@ def tree(quotas: np.ndarray, shards: np.ndarray, seed: list[int]) -> np.ndarray:
         return quotas[None, :]
     half = len(shards) // 2
     rng = np.random.default_rng([*seed, len(shards), int(shards.sum())])
-    left = rng.multivariate_hypergeometric(quotas, int(shards[:half].sum()), method="marginals")
+    left = _drawn(rng, quotas, int(shards[:half].sum()))
     return np.concatenate(
         [
             tree(left, shards[:half], [*seed, 0]),
