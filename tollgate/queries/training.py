@@ -324,6 +324,93 @@ def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["boosted_scores"] = boosted_scores
 
 
+_STUMP = replace(
+    LINEITEM, name="stump", schema=schema_of(l_linenumber="integer", l_discount="double", l_tax="double"),
+    numeric=("l_linenumber", "disc_pct", "tax_pct"), categorical=(),
+)
+
+
+def forest_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest of one tree of one split, over all rows, weighed by class, and
+    features of few values. SQL lists all splits, takes the one of most gain, and has the
+    same two leaves."""
+    items = returned_items(spark, sf_dir).select("l_linenumber", "l_discount", "l_tax", "returned")
+    params = {
+        "family": "forest", "numTrees": 1, "maxDepth": 1, "bootstrap": False, "subsamplingRate": 1.0,
+        "featureSubsetStrategy": "all", "seed": 7,
+    }
+    scored = score(items, fit(class_weights(items, "returned"), _STUMP, params, weight="weight"))
+    return scored.groupBy(F.round("p", 9).alias("p")).agg(
+        F.count("*").alias("n"), F.sum("returned").cast("long").alias("returned")
+    )
+
+
+QUERIES["forest_stump"] = forest_stump
+ORACLES["forest_stump"] = """
+WITH items AS (
+    SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, l_linenumber::DOUBLE AS f1,
+           l_discount * 100 AS f2, l_tax * 100 AS f3 FROM lineitem),
+classes AS (SELECT count(*)::DOUBLE AS n, sum(y)::DOUBLE AS pos FROM items),
+cells AS (
+    SELECT 1 AS f, f1 AS x, count(*) AS n, sum(y) AS pos FROM items GROUP BY f1
+    UNION ALL SELECT 2, f2, count(*), sum(y) FROM items GROUP BY f2
+    UNION ALL SELECT 3, f3, count(*), sum(y) FROM items GROUP BY f3),
+splits AS (
+    SELECT f, x, sum(n) OVER w AS n, sum(pos) OVER w AS pos FROM cells WINDOW w AS (PARTITION BY f ORDER BY x)),
+sides AS (
+    SELECT f, x, unnest([s.n::DOUBLE, c.n - s.n]) AS n, unnest([s.pos::DOUBLE, c.pos - s.pos]) AS pos,
+           c.n / (2 * c.pos) AS w1, c.n / (2 * (c.n - c.pos)) AS w0
+    FROM (SELECT f, x, n, pos FROM splits) s, classes c WHERE s.n < c.n),
+weighed AS (SELECT *, pos * w1 AS a, (n - pos) * w0 AS b FROM sides),
+best AS (SELECT f, x FROM weighed GROUP BY f, x ORDER BY sum((a * a + b * b) / (a + b)) DESC, f, x LIMIT 1)
+SELECT round(a / (a + b), 9) AS p, n::BIGINT AS n, pos::BIGINT AS returned FROM weighed JOIN best USING (f, x)"""
+
+
+def logistic_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A logistic regression without penalty is at its optimum where the residuals
+    of label and chance add up to nothing, by themselves and times each feature."""
+    items = returned_items(spark, sf_dir)
+    params = {"family": "logistic", "regParam": 0.0, "maxIter": 200, "tol": 1e-9}
+    scored = score(items, fit(items, LINEITEM, params))
+    residual = F.col("returned") - F.col("p")
+    features = {
+        "one": F.lit(1.0), "l_quantity": F.col("l_quantity") / 50, "l_discount": F.col("l_discount") * 10,
+        "l_tax": F.col("l_tax") * 12, "open": (F.col("l_linestatus") == "O").cast("double"),
+    }
+    sums = [F.struct(F.lit(k).alias("feature"), F.avg(residual * x).alias("slope")) for k, x in features.items()]
+    rows = scored.agg(F.array(*sums).alias("s"), F.count("*").alias("n"), F.avg("p").alias("mean_p"))
+    return rows.select(F.inline("s"), "n", "mean_p").select(
+        "feature", "n", F.round("mean_p", 4).alias("mean_p"), (F.abs("slope") < 1e-5).alias("level")
+    )
+
+
+QUERIES["logistic_optimum"] = logistic_optimum
+ORACLES["logistic_optimum"] = """
+SELECT feature, count(*) AS n, round(avg(CASE WHEN l_returnflag = 'R' THEN 1e0 ELSE 0e0 END), 4) AS mean_p,
+       TRUE AS level
+FROM lineitem, (SELECT unnest(['one', 'l_quantity', 'l_discount', 'l_tax', 'open']) AS feature)
+GROUP BY feature"""
+
+
+def boosted_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3, T7 with boosted trees, in what SQL can tell: which rows are scored, and that
+    prediction and chance agree and the chance ranks better than by accident."""
+    scored = boosted_scores(spark, sf_dir)
+    ranked = auc(scored.withColumn("model", F.lit("m")), ["model"], "p", "bad").first()
+    return scored.select(
+        "doc_id",
+        "bad",
+        ((F.col("prediction") == 1) == (F.col("p") > 0.5)).alias("agree"),
+        F.lit(ranked.auc is None or ranked.auc > 0.6).alias("ranks"),
+    )
+
+
+QUERIES["boosted_held_out"] = boosted_held_out
+ORACLES["boosted_held_out"] = f"""
+SELECT doc_id, CASE WHEN quality = 0 THEN 1 ELSE 0 END AS bad, TRUE AS agree, TRUE AS ranks
+FROM documents JOIN labels USING (doc_id) WHERE {percent_sql("doc_id")} >= 60"""
+
+
 def logistic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4 over two parameters of a logistic regression; no SQL equivalent."""
     spec = documents_spec(tuple(DOCUMENTS.numeric), categorical=("lang",), scale=True)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import POISSON_ONE_CDF
 from ..operators.registry import champion, read_registry, register
+from ..operators.train import retrain, training_rows
 from ..operators.validate import (
     ALPHA,
     REPLICATES,
@@ -16,9 +19,21 @@ from ..operators.validate import (
     promote,
     t_test,
 )
-from ..plans.validate import METRIC, one_model, registry_row
+from ..plans.prepare import export_latest, latest, prepare
+from ..plans.validate import METRIC, one_model, registry_row, validate
 from ..session import scratch, stored
-from .data import auc_sql, word_sql
+from ..sources.logs import RUNS, read_log
+from ..sources.models import load_model
+from ..spec import DatasetSpec, schema_of
+from .data import (
+    DOCUMENTS_PREV,
+    auc_sql,
+    bayes_sql,
+    documents_sql,
+    labelled_documents,
+    table,
+    word_sql,
+)
 from .training import TWO_MODELS_SQL, two_bayes_models
 
 QUERIES = {}
@@ -37,11 +52,12 @@ def bootstrap_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WEIGHT = " ".join(f"WHEN u < {bound} THEN {k}" for k, bound in enumerate(POISSON_ONE_CDF))
 _WORD = word_sql("model || '#' || doc_id || '#' || (b // 4)", "(b % 4)")
-_REPLICATES_SQL = f"""{TWO_MODELS_SQL},
+_DRAWN_SQL = f"""
     words AS (SELECT model, y, p, b, {_WORD} AS u
               FROM scored, (SELECT unnest(range({REPLICATES})) AS b)),
     drawn AS (SELECT model, y, p, b, CASE {_WEIGHT} ELSE 10 END AS w FROM words),
     replicates AS ({auc_sql("drawn", "model, b", weight="w")})"""
+_REPLICATES_SQL = f"{TWO_MODELS_SQL}, {_DRAWN_SQL}"
 QUERIES["bootstrap_auc"] = bootstrap_auc
 ORACLES["bootstrap_auc"] = f"""
 WITH {_REPLICATES_SQL}
@@ -52,13 +68,14 @@ def _distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distribution(common_replicates(_replicates(spark, sf_dir)))
 
 
-_DIST_SQL = f"""{_REPLICATES_SQL},
+_SPREAD_SQL = """
     common AS (SELECT model, b, auc FROM replicates
                QUALIFY count(auc) OVER (PARTITION BY b) = count(*) OVER (PARTITION BY b)),
     dist AS (SELECT model, count(auc) AS n, avg(auc) AS mean, var_samp(auc) AS var,
                     quantile_cont(auc, 0.025) AS q025, quantile_cont(auc, 0.5) AS q500,
                     quantile_cont(auc, 0.975) AS q975
              FROM common GROUP BY model)"""
+_DIST_SQL = f"{_REPLICATES_SQL}, {_SPREAD_SQL}"
 
 
 def metric_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,3 +234,78 @@ ORACLES["champion_model"] = f"""
 WITH {_REGISTRY_SQL} SELECT * FROM registry ORDER BY version DESC LIMIT 1"""
 
 
+_KINDS = ("upper_pct", "stop_pct", "space_pct")
+MEASURED = DatasetSpec(
+    name="measured",
+    schema=schema_of(doc_id="long", at="timestamp_ntz", **dict.fromkeys(_KINDS, "double")),
+    key=("doc_id",),
+    event_time="at",
+    label="bad",
+    label_expr="cast(quality = 0 as int)",
+    numeric=_KINDS,
+    required=("doc_id", "at"),
+    delimiter=";",
+)
+
+
+def _measured_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two loads of the labelled documents' measures as text. In the first each document
+    comes twice, and the later event counts; in the second a third of them come again,
+    with an earlier event, and the later load counts."""
+    found = labelled_documents(spark, sf_dir).select(
+        "doc_id", *[F.expr(DOCUMENTS_PREV.derived[k]).alias(k) for k in _KINDS]
+    )
+
+    def lines(rows: DataFrame, at: str, more: float) -> DataFrame:
+        fields = ["doc_id", F.lit(f"2024-01-01 {at}:00:00"), F.col("upper_pct") + more, *_KINDS[1:]]
+        return rows.select(F.concat_ws(";", *fields).alias("value"))
+
+    again = found.filter(F.col("doc_id") % 3 == 0)
+    return lines(found, "10", 0.0).union(lines(found, "12", 1.0)), lines(again, "09", 2.0)
+
+
+def retrain_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2, C6, S3, T8, V1-V7 in one chain: two loads, the export, a model trained on their
+    last rows, its logged metrics on what was held out, and its registration. ``same``
+    counts the rows that training and export have alike."""
+    raw, checkpoint, clean_path, out, runs, models, registry = (scratch(spark, f"chain-{i}") for i in range(7))
+    since = date(2000, 1, 1)
+    for lines in _measured_lines(spark, sf_dir):
+        lines.write.mode("append").text(raw)
+        prepare(spark, MEASURED, raw, checkpoint, clean_path)
+    export_latest(spark, MEASURED, clean_path, out, since)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    rows = training_rows(spark, MEASURED, clean_path, since, labels=labels)
+    run = retrain(
+        spark, MEASURED, since, clean_path=clean_path, runs_path=runs, model_root=models,
+        grid={"family": "bayes", "smoothing": [1.0]}, rows=rows,
+    )
+    held = rows.filter("part = 'valid'")
+    validate(spark, MEASURED, held, load_model(run["model_uri"]), run["model_uri"], registry)
+    same = latest(spark, MEASURED, out).join(rows.select("doc_id", *_KINDS), ["doc_id", *_KINDS]).count()
+    logged = F.col("metrics")
+    measured = read_log(spark, runs, RUNS).select(
+        "model_name", *[F.round(logged[c], 6).alias(c) for c in ("n", "tp", "fp", "fn", "tn", "auc")]
+    )
+    known = read_registry(spark, registry).select(
+        "model_name", "version", F.round("metric_mean", 6).alias("metric_mean"), F.round("metric_var", 9).alias("metric_var"), "n_rep"
+    )
+    return measured.join(known, "model_name").withColumn("same", F.lit(same).cast("long"))
+
+
+_LAST_SQL = """SELECT doc_id, y, percent, x1 + CASE WHEN doc_id % 3 = 0 THEN 2e0 ELSE 1e0 END AS x1, x2, x3
+    FROM (""" + documents_sql(DOCUMENTS_PREV) + ")"
+QUERIES["retrain_validate"] = retrain_validate
+ORACLES["retrain_validate"] = f"""
+WITH {bayes_sql(_LAST_SQL, 3, train="percent < 80", keep="percent >= 80", name="r")},
+    scored AS (SELECT 'new' AS model, doc_id, y, p FROM r_scored),
+    {_DRAWN_SQL}, {_SPREAD_SQL}
+SELECT 'measured' AS model_name, (SELECT count(*) FROM scored)::DOUBLE AS n,
+       (SELECT count(*) FROM scored WHERE y = 1 AND p > 0.5)::DOUBLE AS tp,
+       (SELECT count(*) FROM scored WHERE y = 0 AND p > 0.5)::DOUBLE AS fp,
+       (SELECT count(*) FROM scored WHERE y = 1 AND p <= 0.5)::DOUBLE AS fn,
+       (SELECT count(*) FROM scored WHERE y = 0 AND p <= 0.5)::DOUBLE AS tn,
+       (SELECT round(auc, 6) FROM ({auc_sql("scored", "model")})) AS auc, 1 AS version,
+       round(mean, 6) AS metric_mean, round(var, 9) AS metric_var, CAST(n AS INTEGER) AS n_rep,
+       (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS same
+FROM dist"""
