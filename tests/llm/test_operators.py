@@ -230,6 +230,31 @@ def test_substrings_of_few_words_against_plain_windows(spark):
     assert any(r["n_removed"] for r in got.values())
 
 
+@pytest.mark.parametrize("heavy", [1, 20, 1000, 10**9])
+def test_substrings_are_the_same_however_heavy_a_passage_is(spark, monkeypatch, heavy):
+    monkeypatch.setattr(substrings, "HEAVY", heavy)
+    rng = np.random.default_rng(4)
+    common = [f"c{i}" for i in range(45)]
+    rows = []
+    for i in range(90):
+        own = [f"w{k}" for k in rng.integers(0, 3000, rng.integers(5, 60))]
+        at = int(rng.integers(0, len(own)))
+        passage = common if i % 3 else common[: int(rng.integers(15, 45))]
+        rows.append((90 - i, " ".join([*own[:at], *passage, *own[at:], *(passage if i % 10 == 0 else [])])))
+    seen, want = set(), {}
+    for i, text in sorted(rows):
+        words = text.split()
+        gone = [False] * len(words)
+        for a in range(len(words) - 19):
+            window = tuple(words[a : a + 20])
+            if window in seen:
+                gone[a : a + 20] = [True] * 20
+            seen.add(window)
+        want[i] = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
+    got = rows_by_id(substrings.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert {i: r["kept"] for i, r in got.items()} == want
+
+
 def test_urls(spark):
     rows = [
         (1, "http://www.Example.com/en/x", "p"), (2, "http://example.com/en/", "p"), (3, None, "p"), (4, "example.com/en/", "p"),

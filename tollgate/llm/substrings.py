@@ -15,6 +15,9 @@ positive only costs a row, as rows of keys found once are dropped. Documents are
 parsed greedily: at each word the reference that reaches furthest is followed to its
 end. Words in factors of a whole window or more are duplicates.
 
+A passage that a thousandth of all anchors are of is looked up in a table that every
+task has, of bounded size, and its rows take no part in the join by key.
+
 Equality is that of 128 bits of hash: of the anchor and of the context or window.
 """
 
@@ -39,6 +42,8 @@ LEFT, RIGHT = GRAMS - 1, WINDOW
 #: through, and stays right.
 MOST_FILTER_BITS = 1 << 28
 PROBES = 3
+#: Anchors that are more than one in so many, and their keys of as many rows, are heavy.
+HEAVY = 1000
 
 _U = np.uint64
 _HASHER = Hasher(5)
@@ -145,14 +150,14 @@ def units(docs: DataFrame) -> DataFrame:
         .groupBy("value")
         .agg(F.count("*").alias("n"), F.min("context").alias("least"), F.max("context").alias("most"))
     )
-    repeated = stored(found.where("n > 1").select("value", (F.col("least") == F.col("most")).alias("same")), "substring-anchors")
-    n, n_parted = repeated.agg(F.count("*"), F.count_if(~F.col("same"))).first()
+    repeated = stored(found.where("n > 1").select("value", "n", (F.col("least") == F.col("most")).alias("same")), "substring-anchors")
+    n, n_parted, total = repeated.agg(F.count("*"), F.count_if(~F.col("same")), F.coalesce(F.sum("n"), F.lit(0))).first()
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(
         (_filter(repeated.select("value"), n), _filter(repeated.where("NOT same").select("value"), n_parted))
     )
 
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def occurrences(batches: Iterator[pa.RecordBatch], only: np.ndarray | None, known: Known | None) -> Iterator[pa.RecordBatch]:
         again, parted = shared.value
         for batch in slices(batches):
             for ids, words, offsets in _documents(batch):
@@ -160,7 +165,7 @@ def units(docs: DataFrame) -> DataFrame:
                 if not len(own.places):
                     continue
                 ids = np.array([-1 if i is None else i for i in ids], dtype=np.int64)
-                some = _passing(own.values, again)
+                some = _passing(own.values, again) if only is None else np.isin(own.values, only)
                 apart = some & _passing(own.values, parted)
                 whole = np.flatnonzero(some & ~apart)
                 split = np.flatnonzero(apart[own.group])  # windows
@@ -171,21 +176,53 @@ def units(docs: DataFrame) -> DataFrame:
                 two = np.concatenate([own.contexts[whole], own.sums.of(low, low + WINDOW)])
                 at = np.concatenate([own.low[whole], low]) - before
                 to = np.concatenate([own.high[whole], low]) + WINDOW - before
-                yield pa.RecordBatch.from_pydict(
-                    {"one": signed(one), "two": signed(two), "doc_id": ids[doc], "low": at.astype(np.int32), "high": to.astype(np.int32)}
-                )
-
-    # read twice rather than stored: windows are many, and hashing them again is cheap
-    rows = docs.mapInArrow(occurrences, "one long, two long, doc_id long, low int, high int")
+                found = {"doc_id": pa.array(ids[doc]), "low": pa.array(at.astype(np.int32)), "high": pa.array(to.astype(np.int32))}
+                ref_doc, ref_low, open_ = known.of(one, two) if known else (np.zeros(len(one), np.int64), np.zeros(len(one), np.int32), np.ones(len(one), bool))
+                # a row that is answered needs no key: a random one takes it to any task
+                one = np.where(open_, one, mixed(ids[doc].view(np.uint64) + at.astype(np.uint64)))
+                keys = {"one": pa.array(signed(one)), "two": pa.array(signed(two))}
+                refs = {"own_doc": pa.array(ref_doc, mask=open_), "own_low": pa.array(ref_low, mask=open_)}
+                yield pa.RecordBatch.from_pydict(keys | found | refs)
+
+    def rows(only: np.ndarray | None = None, known: Known | None = None) -> DataFrame:
+        schema = "one long, two long, doc_id long, low int, high int, own_doc long, own_low int"
+        return docs.mapInArrow(lambda batches: occurrences(batches, only, known), schema)
+
+    # read again rather than stored: windows are many, and hashing them again is cheap
     place = F.struct("doc_id", "low")
-    firsts = (
-        rows.groupBy("one", "two")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first < last")
-        .select("one", "two", F.col("first.doc_id").alias("ref_doc"), F.col("first.low").alias("ref_low"))
-    )
+    agg = [F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")]
+    ref = [F.col("first.doc_id").alias("ref_doc"), F.col("first.low").alias("ref_low")]
+    firsts = rows().groupBy("one", "two").agg(*agg[:2]).where("first < last").select("one", "two", *ref)
+    heavy = [r["value"] for r in repeated.where(F.col("n") * HEAVY > total).select("value").collect()]  # fewer than HEAVY
+    known = None
+    if heavy:
+        hot = rows(only=np.array(heavy, dtype=np.int64).view(np.uint64)).groupBy("one", "two").agg(*agg)
+        known = Known(hot.where((F.col("n") * HEAVY > total) & (F.col("first") < F.col("last"))).select("one", "two", *ref).toArrow())
+    both = rows(known=known).join(firsts, ["one", "two"], "left")
+    both = both.withColumns({"ref_doc": F.coalesce("own_doc", "ref_doc"), "ref_low": F.coalesce("own_low", "ref_low")})
     later = (F.col("doc_id") > F.col("ref_doc")) | ((F.col("doc_id") == F.col("ref_doc")) & (F.col("low") > F.col("ref_low")))
-    return rows.join(firsts, ["one", "two"]).where(later).select("doc_id", "low", "high", "ref_doc", "ref_low")
+    return both.where(later).select("doc_id", "low", "high", "ref_doc", "ref_low")
+
+
+class Known:
+    """First occurrences of heavy keys: fewer than HEAVY for each window of an anchor."""
+
+    def __init__(self, table: pa.Table):
+        one, two = (table[c].to_numpy().view(np.uint64) for c in ("one", "two"))
+        order = np.argsort(self.key(one, two))
+        self.one, self.two, self.keys = one[order], two[order], self.key(one, two)[order]
+        self.doc, self.low = table["ref_doc"].to_numpy()[order], table["ref_low"].to_numpy()[order]
+
+    @staticmethod
+    def key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return mixed(one ^ mixed(two))
+
+    def of(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document and place of the first occurrence, and which rows are not answered."""
+        if not len(self.keys):
+            return np.zeros(len(one), np.int64), np.zeros(len(one), np.int32), np.ones(len(one), bool)
+        at = np.minimum(np.searchsorted(self.keys, self.key(one, two)), len(self.keys) - 1)
+        return self.doc[at], self.low[at], (self.one[at] != one) | (self.two[at] != two)
 
 
 def parse(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
