@@ -158,3 +158,57 @@ def test_stages_take_odd_rows(spark, docs):
         current = spark.createDataFrame(after.collect(), names)
     mixed = corpus_pipeline.STAGES[-1][1](spark, current, SF_DIR)
     assert set(current.columns) <= set(mixed.columns) and mixed.count() >= 0
+
+
+# ---------------------------------------------------------------- registered queries
+
+
+def test_op1_takes_what_its_contract_says(spark, docs):
+    from test_operators import targets
+
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    got = QUERIES["op1_mix_sources"](spark, SF_DIR).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(rows)
+    sizes, taken = Counter(), Counter()
+    for r in got:
+        source, size = rows[r["doc_id"]]["source"], len(words_of(rows[r["doc_id"]]["text"]))
+        assert r["size"] == size and 0 <= r["taken"] <= 3 * size and (not size or r["taken"] % size == 0)
+        sizes[source] += size
+        taken[source] += r["taken"]
+    wanted = targets(dict(sizes))
+    for r in got:
+        source = rows[r["doc_id"]]["source"]
+        assert r["source_size"] == sizes[source] and r["target"] == pytest.approx(wanted[source])
+    longest = max(len(words_of(r["text"])) for r in rows.values())
+    assert all(abs(taken[s] - wanted[s]) <= min(longest, 0.2 * wanted[s] + 50) for s in sizes)
+    again = QUERIES["op1_mix_sources"](spark, SF_DIR).collect()
+    assert {r["doc_id"]: r["taken"] for r in again} == {r["doc_id"]: r["taken"] for r in got}
+
+
+def test_op9_finds_what_brute_force_finds(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding").collect()
+    x = {r["vec_id"]: np.array(r["embedding"], dtype=np.float64) for r in rows}
+    ids, got = sorted(x), {}
+    for r in QUERIES["op9_nearest"](spark, SF_DIR).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == [i for i in ids if i % 20 == 0]
+    hit = 0
+    for q, found in got.items():
+        found.sort()
+        assert [k for k, _, _ in found] == list(range(1, 21)) and q not in {v for _, v, _ in found}
+        assert all(s == pytest.approx(float(x[v] @ x[q]), abs=1e-12) for _, v, s in found)
+        assert [(-s, v) for _, v, s in found] == sorted((-s, v) for _, v, s in found)
+        best = sorted((-float(x[v] @ x[q]), v) for v in ids if v != q)[:20]
+        hit += len({v for _, v in best} & {v for _, v, _ in found})
+    assert hit >= 0.95 * 20 * len(got)
+
+
+def test_op13_and_op12_do_not_depend_on_partitions(spark):
+    from tollgate.llm import divergence, vafile
+
+    vectors = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding")
+    runs = [sorted(map(tuple, vafile.cluster(v)[0].collect())) for v in (vectors, vectors.repartition(7, "embedding"))]
+    assert runs[0] == runs[1]
+    texts = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text", "lang", "source")
+    runs = [sorted(map(tuple, divergence.audit(d, least_docs=5).collect())) for d in (texts, texts.repartition(7, "source"))]
+    assert runs[0] == runs[1] and runs[0]
