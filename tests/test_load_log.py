@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tollgate.operators.scaling import numbered, scaling_signal
+from tollgate.queries import serving
 from tollgate.sources import logs
 from tollgate.sources.logs import STREAM_METRICS, compact_load, log_load, read_load
 from tollgate.streaming.telemetry import LoadLog
@@ -117,3 +118,25 @@ def test_a_real_stream_left_idle_asks_for_less(spark, path):
     assert found.signal == "in" and found.idle and found.batch_id == 0
     assert read_load(spark, path("log")).agg(F.sum("n_in")).first()[0] == 10
     assert max(files(path("log")).values()) <= 4
+
+
+@pytest.mark.parametrize("absent", [None, 1])
+def test_a_batch_of_the_logged_run_is_a_group_in_many_files(spark, path, monkeypatch, absent):
+    key = F.when(F.col("id") % 50 > 0, F.col("id"))  # some have none, and are in no group
+    items = spark.range(600).select(
+        key.alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") % 7).cast("double").alias("l_quantity"),
+        F.lit(0.1).alias("l_discount"), F.lit(0.02).alias("l_tax"), F.lit("O").alias("l_linestatus"),
+        F.when(F.col("id") % 5 == 0, "R").otherwise("N").alias("l_returnflag"),
+    )
+    if absent is not None:
+        items = items.filter(F.col("id") % 3 != absent)
+    items.coalesce(1).write.parquet(path("lineitem.parquet"))
+    monkeypatch.setattr(serving, "scratch", lambda _, name: path(name))
+    found = serving.stream_load_log(spark, path("")).orderBy("batch_id").collect()
+    counts = [0 if g == absent else sum(i % 50 > 0 for i in range(g, 600, 3)) for g in range(3)]
+    assert [(r.batch_id, r.n_in, r.n_late) for r in found] == [(g, n, 0) for g, n in enumerate(counts)]
+    assert [r.measured for r in found] == [n > 0 for n in counts] and all(r.in_time and r.complete for r in found)
+    sent = spark.read.parquet(path("messages")).groupBy((F.col("key").cast("string").cast("long") % 3).alias("g"))
+    files_of = {r.g: r.n for r in sent.agg(F.count_distinct("_metadata.file_path").alias("n")).collect()}
+    assert files_of.keys() == {g for g, n in enumerate(counts) if n} and min(files_of.values()) > 1
+    assert spark.read.parquet(path("stream-out")).count() == sum(counts)

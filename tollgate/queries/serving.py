@@ -30,11 +30,9 @@ _EVENT_MESSAGE = schema_of(event_id="long", ts="timestamp", **_REST)
 _WIDE = "40 days"
 
 
-def _messages(
-    spark: SparkSession, df: DataFrame, key: Column, value: Column, path: str, spread_out: bool = True
-) -> DataFrame:
+def _messages(spark: SparkSession, df: DataFrame, key: Column, value: Column, path: str) -> DataFrame:
     """Rows stored as messages and read back as a stream."""
-    rows = (spread(df) if spread_out else df).select(
+    rows = spread(df).select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit("in").alias("topic"),
@@ -51,13 +49,16 @@ def _row_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*df.columns))
 
 
-def _run(df: DataFrame, spark: SparkSession) -> tuple[StreamingQuery, DataFrame]:
-    """All available input through the query into a table."""
-    out = scratch(spark, "stream-out")
+def _run(
+    df: DataFrame, spark: SparkSession, out: str | None = None, checkpoint: str | None = None
+) -> tuple[StreamingQuery, DataFrame]:
+    """All available input through the query into a table. With the table and checkpoint
+    of an earlier run, it goes on where that one ended."""
+    out = out or scratch(spark, "stream-out")
     query = (
         df.writeStream.format("parquet")
         .option("path", out)
-        .option("checkpointLocation", scratch(spark, "stream-checkpoint"))
+        .option("checkpointLocation", checkpoint or scratch(spark, "stream-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -225,27 +226,32 @@ def stream_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["stream_performance"] = stream_performance
 
 
-def _scored_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as a stream of three files, one a batch, scored."""
+def _scored_groups(spark: SparkSession, sf_dir: str) -> list:
+    """Line items scored as a stream of three groups, one a batch: the progress reports.
+
+    A group is written by many tasks, to as many files, and the stream then goes on with
+    what is new, so that a batch is one group however many files hold it."""
     items = returned_items(spark, sf_dir)
     model = fit(items, LINEITEM, BAYES)
     sent = items.select(*LINEITEM.columns)
     path, key = scratch(spark, "messages"), F.col("l_orderkey").cast("string")
+    out, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-checkpoint")
+    progress = []
     for group in range(3):
-        part = sent.filter(F.col("l_orderkey") % 3 == group).coalesce(1)
-        _messages(spark, part, key, _row_json(sent), path, spread_out=False)
-    stream = spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", 1).parquet(path)
-    return score_messages(stream, LINEITEM, model)
+        part = sent.filter(F.col("l_orderkey") % 3 == group)
+        stream = _messages(spark, part, key, _row_json(sent), path)
+        query, _ = _run(score_messages(stream, LINEITEM, model), spark, out, checkpoint)
+        progress += query.recentProgress
+    return progress
 
 
 def stream_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The logged load of a scoring run, in what does not vary: rows a batch,
     rates above zero, and no batch longer than its trigger. Each batch is logged twice, as
     after a lost acknowledgement, and the days are compacted; it is read once."""
-    query, _ = _run(_scored_groups(spark, sf_dir), spark)
-    path = scratch(spark, "load-log")
+    progress, path = _scored_groups(spark, sf_dir), scratch(spark, "load-log")
     for _ in range(2):
-        log_progress(spark, query.recentProgress, path)
+        log_progress(spark, progress, path)
     compact_load(spark, path, date.today() + timedelta(days=2))
     return read_load(spark, path).select(
         "batch_id",
