@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tollgate.queries import preparation
 from tollgate.sources import (
     anti_manifest,
     load_new,
@@ -110,3 +111,50 @@ def test_kafka_needs_its_connector(spark):
     options = {"kafka.bootstrap.servers": "localhost:1", "subscribe": "in"}
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         read_kafka(spark, options)
+
+
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+def store_orders(spark, path, kept="true"):
+    """600 orders, a tenth of them spoilt by their queries."""
+    priority = F.element_at(F.array(*map(F.lit, PRIORITIES)), (F.col("id") % 5 + 1).cast("int"))
+    orders = spark.range(600).filter(kept).select(
+        F.col("id").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.when(F.col("id") % 20 < 2, 5_000.0).otherwise(20_000.0).alias("o_totalprice"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"), priority.alias("o_orderpriority"),
+    )
+    orders.coalesce(1).write.parquet(path("orders.parquet"))
+
+
+def files_of(spark, path, group):
+    lines = spark.read.text(path).filter("value <> '' and value not like 'o_orderkey%'")
+    counted = lines.groupBy(group.alias("g")).agg(F.count_distinct("_metadata.file_path").alias("n"))
+    return {r.g: r.n for r in counted.collect()}
+
+
+@pytest.mark.parametrize("kept", ["true", "id % 3 <> 1"])
+def test_a_batch_of_the_streamed_report_is_a_group_in_many_files(spark, path, monkeypatch, kept):
+    store_orders(spark, path, kept)
+    monkeypatch.setattr(preparation, "scratch", lambda _, name: path(name))
+    found = {r.rule: r.n for r in preparation.clean_report_stream(spark, path("")).collect()}
+    left = [i for i in range(600) if kept == "true" or i % 3 != 1]
+    spoilt = sum(i % 20 < 2 for i in left)
+    assert (found["rows_in"], found["rows_rejected"], found["rows_kept"]) == (len(left), spoilt, len(left) - spoilt)
+    files = files_of(spark, path("orders-raw"), F.substring_index("value", "|", 1).cast("long") % 3)
+    assert files.keys() == {i % 3 for i in left} and min(files.values()) > 1
+    assert spark.read.parquet(path("orders-clean")).count() == len(left)
+
+
+def test_lines_with_headers_are_written_to_many_files(spark, path, monkeypatch):
+    store_orders(spark, path)
+    monkeypatch.setattr(preparation, "scratch", lambda _, name: path(name))
+    found = preparation.raw_scan_lines(spark, path("")).collect()
+    lines = {r.line for r in found if r.line is not None}
+    assert len(found) == 600 and sum(r.o_orderkey is None for r in found) == sum(i % 20 == 1 for i in range(600))
+    assert '0|1|O|5000.0|notatime|"1-URGENT|"' in lines and '"1|1|O|5000.0|2024-01-01 00:00:00|"2-HIGH|"' in lines
+    assert not any("o_orderkey" in line for line in lines) and len(lines) == sum(i % 20 < 2 for i in range(600))
+    key = F.regexp_extract("value", "[0-9]+", 0).cast("long")
+    assert min(files_of(spark, path("orders-text"), key % 2).values()) > 1
+    whole = spark.read.text(path("orders-text"), wholetext=True).filter("value <> ''").collect()
+    assert all(r.value.startswith("o_orderkey|") and r.value.count("o_orderkey") == 1 for r in whole)
